@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, secrets
+from . import langid, mixing, packing, secrets, toxicity
 from .shared import table
 
 
@@ -88,9 +88,36 @@ FROM d LEFT JOIN g USING (row)
 """
 
 
+def _held_out() -> Column:
+    """Rows from which nothing is learned: crc32 of the id as text divisible by 5."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
+
+
+def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the pieces of all tokenized documents stand in sequences of 2048 tokens."""
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels of four fifths of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~_held_out()))
+    return toxicity.score(docs, model).select("doc_id", _held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from four fifths of them."""
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs.select("doc_id", "text"), langid.fit(docs.where(~_held_out())), score="score")
+    return found.select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op3_secrets": op3_secrets,
+    "op5_pack": op5_pack,
+    "op6_toxicity": op6_toxicity,
+    "op7_language": op7_language,
 }
 
 ORACLES = {
