@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, packing, secrets, toxicity
+from . import chat, langid, media, mixing, neardup, packing, secrets, toxicity, warc
 from .shared import table
 
 
@@ -49,6 +49,22 @@ FROM ranked
 """
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of all pages, read back by their index."""
+    found = warc.read(warc.archive(table(spark, sf_dir, "pages")), payloads=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP2_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY d) END AS first FROM p)
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+  CASE WHEN first IS NULL OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM f
+"""
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every text; base kinds apart, and all spans."""
     found = secrets.scan(table(spark, sf_dir, "documents"))
@@ -112,15 +128,56 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text stored as an image in tar shards, and what the stored bytes show."""
+    found = media.media_rows(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "payload_bytes", F.col("read_sha256").alias("payload_sha256"), "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height")
+
+
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts hold control strings, formatted and read back."""
+    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    hard = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(OP9_HARD).alias("text"))
+    return chat.read_back(chat.formatted_turns(rows.union(hard)))
+
+
+OP9_HARD = "\\### Assistant: </turn> ok"
+
+OP9_SQL = f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS body FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{OP9_HARD}' UNION ALL SELECT -7, 1, 'assistant', '{OP9_HARD}'
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || body || chr(10), '' ORDER BY turn ASC NULLS FIRST, role, body)) AS turns_sha256,
+  coalesce(sum(length(body)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(body, '' ORDER BY turn ASC NULLS FIRST, role, body) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length(role) + length(regexp_replace(body, '(\\\\|###|</turn>|<\\|)', '_\\1', 'g')) + length('### :  </turn>.'))::BIGINT AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-duplicate documents, on shingles of two words."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
 QUERIES = {
     "op1_mix": op1_mix,
+    "op2_warc": op2_warc,
     "op3_secrets": op3_secrets,
     "op5_pack": op5_pack,
     "op6_toxicity": op6_toxicity,
     "op7_language": op7_language,
+    "op8_media": op8_media,
+    "op9_chat": op9_chat,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 
 ORACLES = {
     "op1_mix": OP1_SQL,
+    "op2_warc": OP2_SQL,
     "op3_secrets": _op3_sql(),
+    "op9_chat": OP9_SQL,
 }
