@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, media, mixing, neardup, packing, secrets, toxicity, warc
+from . import ann, chat, langid, media, mixing, neardup, packing, secrets, toxicity, warc
 from .shared import table
 
 
@@ -104,6 +104,11 @@ FROM d LEFT JOIN g USING (row)
 """
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every vector whose id is divisible by 20."""
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def _held_out() -> Column:
     """Rows from which nothing is learned: crc32 of the id as text divisible by 5."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
@@ -167,6 +172,7 @@ QUERIES = {
     "op1_mix": op1_mix,
     "op2_warc": op2_warc,
     "op3_secrets": op3_secrets,
+    "op4_nearest": op4_nearest,
     "op5_pack": op5_pack,
     "op6_toxicity": op6_toxicity,
     "op7_language": op7_language,
