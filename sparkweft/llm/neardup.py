@@ -12,14 +12,14 @@ in both prefixes. Skipping: the other, longest lists are never merged; they coun
 are compared. Tokens that one class alone has take up places of the prefix and are dropped.
 
 Short lists (up to SHORT) give their pairs, of which those that collide COLLISIONS times are kept. A longer list
-gives none of its pairs, but pairs each member with a few pivots, chosen alike in all lists, so a group of
+gives none of its pairs, but pairs each member with a few pivots, chosen alike in many lists, so a group of
 many near copies costs its size times a constant. Pairs whose signatures agree in MATCHES coordinates are
 confirmed on the full sets, and confirmed links give components. Pairs inside a component need no more
 work. What long lists may still hide are links between members of different components: in each long list
-the members outside its largest component are compared, by signature and in blocks, with the
-members of other components, and agreeing pairs are confirmed too. So no pair of a common prefix
-token is left out, whatever the length of the list; work grows with the square of a list only where
-it mixes many unlinked classes that agree in most of their rarest tokens.
+the members outside its largest component, the strays, are compared in blocks with the
+members of other components, agreeing pairs on their full sets at once, and one link for each stray and
+component is returned. So no pair with a common prefix token is left out, whatever the length of the list; no
+rows are made for pairs. The comparing grows with a list's length times its strays.
 
 Sets hold 64-bit hashes of shingles; a class is known by a 128-bit digest of its set.
 
@@ -148,18 +148,54 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
 
-def _across(group: pa.Table) -> pa.Table:
-    """Of a block of members and one of strays of a list, the pairs of different components whose signatures agree."""
-    stray = group.column("stray").to_numpy(zero_copy_only=False).astype(bool)
-    values = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint32).reshape(-1, COORDINATES)
-    rep, component = group.column("rep").to_numpy(), group.column("component").to_numpy()
-    a, b = [], []
-    members = np.flatnonzero(~stray)
-    for i in np.flatnonzero(stray):
-        hit = members[((values[members] == values[i]).sum(axis=1) >= MATCHES) & (component[members] != component[i])]
-        a.append(np.minimum(rep[hit], rep[i]))
-        b.append(np.maximum(rep[hit], rep[i]))
-    return pa.table({"a": np.concatenate(a) if a else np.zeros(0, np.int64), "b": np.concatenate(b) if b else np.zeros(0, np.int64)})
+def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a list column one after the other, and where each row's start; one more for the end."""
+    whole = column.combine_chunks()
+    return whole.flatten().to_numpy(), np.concatenate([[0], np.cumsum(whole.value_lengths().to_numpy())])
+
+
+def _across(percent: int):
+    def go(group: pa.Table) -> pa.Table:
+        """Of a block of members and one of strays of a list, links between components: for each stray, one to each component it is linked with.
+
+        A pair belongs to the list of the first token that both have in their prefixes, and is looked at there alone.
+        """
+        token = group.column("token")[0].as_py()
+        stray = group.column("stray").to_numpy().astype(bool)
+        rep, component = group.column("rep").to_numpy(), group.column("component").to_numpy()
+        values = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint32).reshape(-1, COORDINATES)
+        found, start = _lists(group.column("found"))
+        found = found.view(np.uint64)  # in this order sets are sorted
+        size = np.diff(start)
+        flat, first = _lists(group.column("tokens"))
+        width = np.diff(first)
+        tokens = np.full((len(rep), max(width.max(), 1)), -1, np.int64)
+        tokens[np.repeat(np.arange(len(rep)), width), np.arange(len(flat)) - np.repeat(first[:-1], width)] = flat
+        out: list[tuple[int, int]] = []
+        members = np.flatnonzero(~stray)
+        for i in np.flatnonzero(stray):
+            agree = (values[members] == values[i]).sum(axis=1)
+            near = (agree >= MATCHES) & (component[members] != component[i])
+            near &= 100 * np.minimum(size[members], size[i]) >= percent * np.maximum(size[members], size[i])
+            hit = members[near][np.argsort(-agree[near], kind="stable")]
+            if len(hit):
+                common = np.isin(tokens[hit], flat[first[i] : first[i + 1]])
+                hit = hit[tokens[hit, common.argmax(axis=1)] == token]
+            own, done = found[start[i] : start[i + 1]], set()
+            for k in range(0, len(hit), 128):
+                part = [j for j in hit[k : k + 128] if component[j] not in done]
+                if not part:
+                    continue
+                every = np.concatenate([found[start[j] : start[j + 1]] for j in part])
+                same = own[np.minimum(np.searchsorted(own, every), len(own) - 1)] == every
+                both = np.add.reduceat(same, np.concatenate([[0], np.cumsum(size[part])[:-1]]), dtype=np.int64)
+                for j, n in zip(part, both.tolist(), strict=True):
+                    if n * 100 >= (len(own) + size[j] - n) * percent and component[j] not in done:
+                        done.add(component[j])
+                        out.append((min(rep[i], rep[j]), max(rep[i], rep[j])))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([x for _, x in out], pa.int64())})
+
+    return go
 
 
 def _prefixes(classes: DataFrame) -> DataFrame:
@@ -185,26 +221,37 @@ def _pivot_pairs(posts: DataFrame) -> DataFrame:
     return near.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
 
 
-def _stray_pairs(hot: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs of long lists across components, signatures agreeing."""
-    named = hot.join(found, F.col("rep") == F.col("node"), "left").select("token", "rep", F.coalesce("component", "rep").alias("component"))
+def _stray_links(hot: DataFrame, docs: DataFrame, classes: DataFrame, found: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links of long lists across components, confirmed on the full sets."""
+    named = hot.join(found, F.col("rep") == F.col("node"), "left").select("token", "many", "rep", F.coalesce("component", "rep").alias("component"))
     parts = named.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n"))
     lists = parts.groupBy(F.col("token").alias("_token")).agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("all")).where("all > most")
     lists = lists.select("_token", "main", F.ceil(F.col("all") / BLOCK).alias("blocks"), F.ceil((F.col("all") - F.col("most")) / BLOCK).alias("stray_blocks"))
-    rows = named.join(lists, F.col("token") == F.col("_token"))
+    rows = written(named.join(lists, F.col("token") == F.col("_token")).drop("_token"), "dedup-mixed")
     draw = F.abs(F.xxhash64("rep") % 1_000_003)
     members = rows.select("token", (draw % F.col("blocks")).alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("stray_blocks") - 1)).alias("stray_block"), "rep", "component", F.lit(False).alias("stray"))
     strays = rows.where("component <> main").select("token", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), (draw % F.col("stray_blocks")).alias("stray_block"), "rep", "component", F.lit(True).alias("stray"))
-    signed = members.union(strays).join(classes.select(F.col("rep").alias("_rep"), "signature"), F.col("rep") == F.col("_rep")).drop("_rep")
-    return signed.groupBy("token", "block", "stray_block").applyInArrow(_across, "a long, b long").distinct()
+    # What a class brings to each of its lists: signature, set, and its long lists in the order of prefixes (at most COORDINATES).
+    own = rows.groupBy(F.col("rep").alias("_rep")).agg(F.sort_array(F.collect_list(F.struct("many", "token"))).alias("t"))
+    own = own.select("_rep", F.transform("t", lambda x: x["token"]).alias("tokens"))
+    own = own.join(_sets_of(own.select(F.col("_rep").alias("_id")), docs, classes, words), F.col("_rep") == F.col("id")).drop("id")
+    own = own.join(classes.select(F.col("rep").alias("_r"), "signature"), F.col("_rep") == F.col("_r")).drop("_r")
+    signed = members.union(strays).join(own, F.col("rep") == F.col("_rep")).drop("_rep")
+    return signed.groupBy("token", "block", "stray_block").applyInArrow(_across(percent), "a long, b long").distinct()
+
+
+def _sets_of(ids: DataFrame, docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
+    """(id, found): the full sets of the classes named by ids (_id), made again from their texts."""
+    ids = small(written(ids, "dedup-ids"), 16)
+    rows = docs.join(ids, F.col("doc_id") == F.col("_id")).select("doc_id", "text").mapInArrow(_sets(words), "id long, key binary, found array<long>")
+    own = classes.select(F.col("rep").alias("_c"), F.col("key").alias("_key")).join(ids, F.col("_c") == F.col("_id"), "left_semi")
+    sets = rows.join(own, (F.col("id") == F.col("_c")) & (F.col("key") == F.col("_key"))).select("id", "found")
+    return written(sets, "dedup-sets")
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar enough. Sets are made again, of the documents in some pair only."""
-    ids = small(written(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct(), "dedup-ids"), 16)
-    rows = docs.join(ids, F.col("doc_id") == F.col("_id")).select("doc_id", "text").mapInArrow(_sets(words), "id long, key binary, found array<long>")
-    own = classes.select(F.col("rep").alias("_rep"), F.col("key").alias("_key")).join(ids, F.col("_rep") == F.col("_id"), "left_semi")
-    sets = written(rows.join(own, (F.col("id") == F.col("_rep")) & (F.col("key") == F.col("_key"))).select("id", "found"), "dedup-sets")
+    """The pairs whose full sets are similar enough. Sets are made of the documents in some pair only."""
+    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct(), docs, classes, words)
     left, right = (sets.select(F.col("id").alias(f"_{x}"), F.col("found").alias(f"set_{x}")) for x in "ab")
     both = pairs.join(right, F.col("b") == F.col("_b")).join(left, F.col("a") == F.col("_a"))
     common = F.size(F.array_intersect("set_a", "set_b"))
@@ -227,9 +274,9 @@ def near_duplicates(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
     found = written(components(links), "dedup-components")
     hot = posts.where(F.col("many") > SHORT)
     if not hot.isEmpty():
-        more = written(_stray_pairs(hot, classes, found).join(pairs, ["a", "b"], "left_anti"), "dedup-strays")
+        more = written(_stray_links(hot, docs, classes, found, words, percent), "dedup-strays")
         if not more.isEmpty():
-            links = written(links.union(_confirmed(more, docs, classes, words, percent)), "dedup-links")
+            links = written(links.union(more), "dedup-links")
             found = written(components(links), "dedup-components")
     # A document with an empty set is a component of its own.
     reps = rows.where("n_shingles > 0").groupBy(F.col("key").alias("_key")).agg(F.min("doc_id").alias("rep"))
