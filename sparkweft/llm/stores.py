@@ -79,3 +79,16 @@ class Reader:
                     raise EOFError(f"{uri} ends before {o + n}")
                 yield blob
             i = j
+
+
+def dealt(index, file: str, spans_bytes: int = RANGE):
+    """An index (file column, offset, length) dealt for reading, each partition in order of file and offset.
+
+    The number of partitions follows the bytes to read, as the rows themselves are too light to show them.
+    """
+    from pyspark.sql import functions as F
+
+    total = index.agg(F.sum("length")).first()[0] or 0
+    parts = max(index.sparkSession.sparkContext.defaultParallelism, -(-total // (4 * spans_bytes)))
+    spans = index.withColumn("_span", F.floor(F.col("offset") / spans_bytes))
+    return spans.repartition(int(parts), file, "_span").sortWithinPartitions(file, "offset").drop("_span")

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import fresh_dir, small, written
-from .stores import RANGE, Reader, Writer
+from .stores import Reader, Writer, dealt
 
 REVISIT_BYTES = 100
 DATE = "2024-01-01T00:00:00Z"
@@ -106,8 +106,6 @@ def read(selected: DataFrame, *, payloads: bool = True) -> DataFrame:
     """The records that rows of an index name, read from the archives: page_id, url, record_type, payload_digest, payload_bytes, refers_to[, payload]."""
     fields = "page_id long, url string, record_type string, payload_digest string, payload_bytes long, refers_to long" + ", payload binary" * payloads
     names = [x.split()[0] for x in fields.split(", ")]
-    dealt = selected.select("file", "offset", "length").withColumn("span", F.floor(F.col("offset") / RANGE))
-    dealt = dealt.repartition("file", "span").sortWithinPartitions("file", "offset")
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader()
@@ -120,4 +118,4 @@ def read(selected: DataFrame, *, payloads: bool = True) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([x[n] for x in found], kinds.get(n, pa.string())) for n in names], names=names)
         reader.close()
 
-    return dealt.mapInArrow(go, fields)
+    return dealt(selected.select("file", "offset", "length"), "file").mapInArrow(go, fields)
