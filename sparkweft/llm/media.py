@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import fresh_dir, small, written
-from .stores import RANGE, Reader, Writer
+from .stores import Reader, Writer, dealt
 
 LINE = 64
 #: Signature and IHDR of a PNG: all that metadata columns need.
@@ -125,11 +125,7 @@ def stored(docs: DataFrame) -> DataFrame:
 
     index = written(rows.mapInArrow(go, "payload_sha256 string, shard string, offset long, length long"), "media-index")
     one = index.groupBy("payload_sha256").agg(F.min(F.struct("shard", "offset", "length")).alias("at"))
-    return one.select("payload_sha256", "at.shard", "at.offset", "at.length")
-
-
-def _dealt(index: DataFrame) -> DataFrame:
-    return index.withColumn("_span", F.floor(F.col("offset") / RANGE)).repartition("shard", "_span").sortWithinPartitions("shard", "offset").drop("_span")
+    return written(one.select("payload_sha256", "at.shard", "at.offset", "at.length"), "media-index")
 
 
 def _with_reads(index: DataFrame, fields: list[tuple[str, str, pa.DataType]], of, head: int | None) -> DataFrame:
@@ -152,7 +148,7 @@ def _with_reads(index: DataFrame, fields: list[tuple[str, str, pa.DataType]], of
 
 def metadata(index: DataFrame) -> DataFrame:
     """An index with width, height and bit_depth, from header-only range reads."""
-    return _with_reads(_dealt(index), [("width", "int", pa.int32()), ("height", "int", pa.int32()), ("bit_depth", "int", pa.int32())], header, HEADER)
+    return _with_reads(dealt(index, "shard"), [("width", "int", pa.int32()), ("height", "int", pa.int32()), ("bit_depth", "int", pa.int32())], header, HEADER)
 
 
 def _features(blob: bytes) -> tuple:
@@ -163,7 +159,7 @@ def _features(blob: bytes) -> tuple:
 def features(index: DataFrame) -> DataFrame:
     """An index (as stored or metadata return it) with what whole members show: payload_bytes, read_sha256, tail_crc32, media_bytes, media_sha256, feature."""
     fields = [("payload_bytes", "long", pa.int64()), ("read_sha256", "string", pa.string()), ("tail_crc32", "long", pa.int64()), ("media_bytes", "long", pa.int64()), ("media_sha256", "string", pa.string()), ("feature", "string", pa.string())]
-    return _with_reads(index if "width" in index.columns else _dealt(index), fields, _features, None)
+    return _with_reads(index if "width" in index.columns else dealt(index, "shard"), fields, _features, None)
 
 
 def media_rows(docs: DataFrame) -> DataFrame:
