@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import small, written
 
 CAPACITY = 2048
 END = 0
@@ -190,17 +190,18 @@ def packing(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
 
 
 def places(classes: list[tuple[int, list[tuple[int, int]]]]) -> np.ndarray:
-    """Rows (length, first number, in a row, first sequence, offset): where the pieces of a length go, in order of number."""
+    """Rows (length, first number, number after the last, in a row, first sequence, offset): where the pieces of a length go, in order of number."""
     taken: dict[int, int] = {}
     out, sequence = [], 0
     for many, holds in classes:
         offset = 0
         for length, each in holds:
-            out.append((length, taken.get(length, 0), each, sequence, offset))
-            taken[length] = taken.get(length, 0) + many * each
+            first = taken.get(length, 0)
+            taken[length] = first + many * each
+            out.append((length, first, taken[length], each, sequence, offset))
             offset += length * each
         sequence += many
-    return np.array(sorted(out), np.int64).reshape(-1, 5)
+    return np.array(sorted(out), np.int64).reshape(-1, 6)
 
 
 def packed(docs: DataFrame, *, capacity: int = CAPACITY, vocabulary: str | None = None, keep_ids: bool = False) -> DataFrame:
@@ -211,17 +212,11 @@ def packed(docs: DataFrame, *, capacity: int = CAPACITY, vocabulary: str | None
     before = by_task.select(F.col("task").alias("_task"), F.col("length").alias("_length"), F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"))
     counts = {r["length"]: r["n"] for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most capacity rows
     table = places(packing(counts, capacity))
-    numbered = cut.join(before, (F.col("task") == F.col("_task")) & (F.col("length") == F.col("_length"))).withColumn("number", F.col("before") + F.col("nth")).drop("_task", "_length", "task", "nth", "before")
+    runs = docs.sparkSession.createDataFrame(pa.table(dict(zip(("_len", "first", "until", "each", "sequence", "at"), table.T, strict=True))))
+    numbered = cut.join(small(before, 32), (F.col("task") == F.col("_task")) & (F.col("length") == F.col("_length"))).withColumn("number", F.col("before") + F.col("nth")).drop("_task", "_length", "task", "nth", "before")
+    # A few thousand runs, as capacity bounds them: a piece's run is the one of its length that its number lies in.
+    found = numbered.join(F.broadcast(runs), (F.col("length") == F.col("_len")) & (F.col("number") >= F.col("first")) & (F.col("number") < F.col("until")))
+    past = F.col("number") - F.col("first")
     kept = [c for c in numbered.columns if c != "number"]
-    schema = numbered.select(*kept, F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset")).schema
-
-    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = (table[:, 0] << 40) + table[:, 1]
-        for batch in batches:
-            length, number = batch.column("length").to_numpy(), batch.column("number").to_numpy()
-            run = table[np.searchsorted(keys, (length << 40) + number, side="right") - 1]
-            past = number - run[:, 1]
-            where = [pa.array(run[:, 3] + past // run[:, 2]), pa.array(run[:, 4] + past % run[:, 2] * length)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *where], names=[*kept, "sequence_id", "offset"])
-
-    return numbered.mapInArrow(go, schema)
+    sequence, offset = F.col("sequence") + F.expr("(number - first) div each"), F.col("at") + past % F.col("each") * F.col("length")
+    return found.select(*kept, sequence.alias("sequence_id"), offset.alias("offset"))
