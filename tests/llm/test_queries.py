@@ -1,0 +1,106 @@
+"""The registered queries: like SQL where there is some, else held against the data they ran on; and the pipeline."""
+
+import collections
+import os
+import re
+import zlib
+
+import pytest
+from oracle import DATA, same
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from sparkweft.llm import mixing, neardup, packing, queries, secrets
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_like_sql(spark, name):
+    assert same(queries.QUERIES[name](spark, DATA), queries.ORACLES[name]) > 0
+
+
+def documents(spark):
+    return spark.read.parquet(f"{DATA}/documents.parquet")
+
+
+def test_names():
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
+
+
+def test_nearest(spark):
+    from pyspark.sql import DataFrame
+
+    rows = queries.QUERIES["op4_nearest"](spark, DATA)
+    assert isinstance(rows, DataFrame) and rows.count() == 20 * spark.read.parquet(f"{DATA}/embeddings.parquet").where("vec_id % 20 = 0").count()
+
+
+def test_pack(spark):
+    rows = queries.QUERIES["op5_pack"](spark, DATA).collect()
+    total, sequences = sum(r.length for r in rows), len({r.sequence_id for r in rows})
+    assert sequences <= 1.01 * total / 2048 + 2
+    assert {r.doc_id for r in rows} == {r.doc_id for r in documents(spark).collect()}
+
+
+def test_held_out(spark):
+    texts = {r.doc_id: r for r in documents(spark).collect()}
+    for name in ("op6_toxicity", "op7_language"):
+        rows = queries.QUERIES[name](spark, DATA).collect()
+        assert len(rows) == len(texts)
+        assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 for r in rows)
+    held = [r.lang_pred == texts[r.doc_id].lang for r in rows if r.held_out]
+    assert sum(held) >= 0.95 * len(held)
+
+
+def test_media(spark):
+    rows = {r.doc_id: r for r in queries.QUERIES["op8_media"](spark, DATA).collect()}
+    assert all(rows[r.doc_id].n_bytes == len(r.text.encode()) for r in documents(spark).collect())
+
+
+def test_near_duplicates(spark):
+    from test_operators import components_by_hand
+
+    docs = documents(spark)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in queries.QUERIES["op10_near_duplicates"](spark, DATA).collect()}
+    assert got == components_by_hand([(r.doc_id, r.text) for r in docs.collect()], 2)
+
+
+def test_pipeline_stage_by_stage(spark, odd, empty):
+    """Each stage's decisions, on real and odd rows."""
+    from test_operators import components_by_hand
+
+    extra = [(10_000 + i, t, lang, s, None) for i, (t, lang, s) in enumerate([(None, "en", "x"), ("...", "en", "x"), ("12 34", None, None), ("the house and the garden of the king", None, "x"), ("secret = 'abcdefghijklmnop' end", "en", "x")])]
+    docs = documents(spark)
+    docs = docs.unionByName(spark.createDataFrame(extra, docs.schema))
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["language", "near_dedup", "secrets", "mix", "pack"]
+    one = stages["language"](spark, docs, DATA)
+    assert one.columns == docs.columns
+    assert {r.doc_id for r in docs.collect()} - {r.doc_id for r in one.collect()} == {10_000, 10_001, 10_002}
+    assert one.where("doc_id = 10003").first().lang is not None
+    two = stages["near_dedup"](spark, one, DATA)
+    want = components_by_hand([(r.doc_id, r.text) for r in one.collect()], neardup.WORDS)
+    assert sorted(r.doc_id for r in two.collect()) == sorted(i for i, (_, c) in want.items() if i == c)
+    three = stages["secrets"](spark, two, DATA)
+    assert three.count() == two.count() and secrets.scan(three).where("size(spans) > 0").count() == 0
+    assert three.where("doc_id = 10004").first().text == "[SECRET]' end"
+    assert all(r.n_chars == len(r.text) for r in three.collect())
+    four = stages["mix"](spark, three, DATA)
+    copies = {r.doc_id: r.copies for r in mixing.sampled(mixing.sampling_plan(three)).collect()}
+    assert four.columns == docs.columns
+    assert collections.Counter(r.doc_id for r in four.collect()) == +collections.Counter(copies)
+    five = stages["pack"](spark, four, DATA).collect()
+    encode = packing.encoder(packing.default_vocabulary())
+    texts = {r.doc_id: r.text for r in four.collect()}
+    assert sum(r.length for r in five) == sum((len(encode(t)) + 1) * copies[i] for i, t in texts.items())
+    for frame in (odd, empty):
+        rows = frame
+        for _, stage in corpus_pipeline.STAGES:
+            rows = stage(spark, rows, DATA)
+        assert (rows.count() > 0) == (frame is odd)
+
+
+def test_pipeline_runs(spark):
+    rows = corpus_pipeline.run(spark, DATA)
+    by = rows.groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()
+    assert rows.count() > 0 and all(r.n <= 2048 for r in by)
