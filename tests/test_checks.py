@@ -165,6 +165,21 @@ def test_tools(spark):
         external.Tool(("no-such-program",), "", "").checked()
 
 
+def test_graphml(spark, tmp_path):
+    (tmp_path / "g.xml").write_text('<graphml><graph><node id="1"><data key="labelV">METHOD</data><data key="NAME">f</data></node><node id="2"><data key="labelV">CALL</data></node><edge source="1" target="2"><data key="labelE">CFG</data></edge></graph></graphml>')
+    nodes, edges = documents.read_graphml(spark, str(tmp_path / "g.xml"))
+    assert sorted((r.node_id, r.label) for r in nodes.collect()) == [("1", "METHOD"), ("2", "CALL")]
+    assert [(r.src, r.dst, r.label) for r in edges.collect()] == [("1", "2", "CFG")]
+
+
+def test_short_documents(made):
+    docs, sub, _ = made
+    at = lambda name: F.concat(F.col("graph_id"), F.lit(name))
+    short = json.loads(verify.verification(verify.verify_subgraph(docs, sub), at("/a"), at("/b")).where("graph_id = 'a'").first().verification)
+    assert short == {"passed": True, "timestamp": 0.0, "original_dot": "a/a", "extracted_dot": "a/b", "edge_types": ["CALL", "CFG"]}
+    assert json.loads(verify.failed_report(docs, F.lit("bad"), at("/a"), at("/b")).first().report)["error"] == "bad"
+
+
 def test_splits_keep_groups(spark):
     for pairs, sizes in ((2455, (3436, 736, 738)), (562, (786, 168, 170))):
         rows = spark.range(2 * pairs).select(F.concat(F.lit("t"), F.floor(F.col("id") / 2).cast("string")).alias("testcases_name"))
