@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import bounded, written
 
 SAMPLE = 32768
 #: Sampled vectors for each centroid at least.
@@ -225,7 +225,7 @@ def _searched(k: int):
 
 def search(rows: DataFrame, queries: Column, k: int = 20, *, sample: int = SAMPLE, replicas: int = REPLICAS, closure: float = CLOSURE, ratio: float = RATIO) -> DataFrame:
     """The k nearest found, among all rows (vec_id, embedding), of each row for which the condition queries holds: query_id, rank, vec_id, score."""
-    spark = rows.sparkSession
+    spark = bounded(rows).sparkSession
     every = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector")).where(F.col("vec_id").isNotNull() & usable(F.col("vector")))
     length = every.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
     if length is None:

@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import bounded
+
 #: What the template and the placeholders are made of.
 CONTROLS = ("###", "</turn>", "<|")
 LOSS_ROLE = "assistant"
@@ -152,7 +154,7 @@ def formatted_turns(rows: DataFrame, *, typed: bool = False, loss_role: str = LO
             columns = [batch.column("conv_id"), batch.column("turn"), pa.array([x[0] for x in made], pa.string()), pa.array([x[1] for x in made], pa.int64()), pa.array([x[2] for x in made], pa.int64()), pa.array(attached, kind)]
             yield pa.RecordBatch.from_arrays(columns, names=["conv_id", "turn", "formatted", "loss_start", "loss_end", "attachments"])
 
-    return rows.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text").mapInArrow(go, FORMATTED)
+    return bounded(rows).select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text").mapInArrow(go, FORMATTED)
 
 
 def parsed(formatted: str) -> list[tuple[str, str]]:
@@ -210,7 +212,7 @@ def read_back(turns: DataFrame) -> DataFrame:
         if conv is not nothing:
             yield said([end()])
 
-    return ordered.mapInArrow(go, READ)
+    return bounded(ordered).mapInArrow(go, READ)
 
 
 def conversations(turns: DataFrame) -> DataFrame:

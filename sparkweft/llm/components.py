@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from .shared import written
 
+#: Edges that one task writes at least.
+TASK_EDGES = 250_000
+
 
 def _minima(pairs: DataFrame) -> DataFrame:
     """(u, m): the least of u and its neighbours v."""
@@ -40,7 +43,7 @@ def components(edges: DataFrame) -> DataFrame:
     at = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "components")
     mark = _mark(at)
     while mark[0]:
-        new = written(_small_star(_large_star(at)), "components")
+        new = written(_small_star(_large_star(at)), "components", 1 + mark[0] // TASK_EDGES)  # a round makes no more edges than there were
         now = _mark(new)
         at, done, mark = new, now == mark, now
         if done:

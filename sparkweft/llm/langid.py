@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .ngrams import distinct, owners, runs
+from .shared import bounded
 
 DIMENSIONS = 8192
 CODES = 64
@@ -110,7 +111,7 @@ def gram_vectors(grams: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame) -> Model:
     """Learns from all docs (text, lang) whose lang is not null."""
     learned = docs.select("lang", F.coalesce("text", F.lit("")).alias("text")).where("lang is not null")
-    counts = learned.mapInArrow(_count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = bounded(learned).mapInArrow(_count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     # At most 2**BITS n-grams by MAX_LANGUAGES languages, whatever the number of documents.
     found = counts.toPandas()
     languages = sorted(found["lang"].unique())
@@ -158,7 +159,7 @@ def predicted(texts: Sequence[str | None], model: Model) -> tuple[list[str], np.
 
 def identify(docs: DataFrame, model: Model, *, text: str = "text", lang: str = "lang_pred", score: str = "lang_score") -> DataFrame:
     """Docs with the predicted language of every whole text, and its cosine."""
-    keep = docs.drop(lang, score)
+    keep = bounded(docs.drop(lang, score))
     schema = keep.select("*", F.lit("").alias(lang), F.lit(0.0).alias(score)).schema
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

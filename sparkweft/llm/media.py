@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import fresh_dir, small, written
+from ..tables import fresh_dir
+from .shared import bounded, small, written
 from .stores import Reader, Writer, dealt
 
 LINE = 64
@@ -123,7 +124,7 @@ def stored(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("payload_sha256"), pa.array(shards, pa.string()), pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64())], names=["payload_sha256", "shard", "offset", "length"])
         out.close()
 
-    index = written(rows.mapInArrow(go, "payload_sha256 string, shard string, offset long, length long"), "media-index")
+    index = written(bounded(rows).mapInArrow(go, "payload_sha256 string, shard string, offset long, length long"), "media-index")
     one = index.groupBy("payload_sha256").agg(F.min(F.struct("shard", "offset", "length")).alias("at"))
     return written(one.select("payload_sha256", "at.shard", "at.offset", "at.length"), "media-index")
 

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import small, written
+from .shared import bounded, small, written
 
 WORDS = 5
 PERCENT = 80
@@ -261,7 +261,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int
 
 def near_duplicates(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of docs (doc_id, text); links join sets with similarity of at least percent."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = bounded(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     rows = written(docs.mapInArrow(_signed(words), "doc_id long, n_shingles long, key binary, signature binary"), "dedup-rows")
     whole = rows.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("signature", ignorenulls=True).alias("signature"))
     classes = written(whole.where("signature is not null and rep is not null"), "dedup-classes")

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import small, written
+from .shared import bounded, small, written
 
 CAPACITY = 2048
 END = 0
@@ -113,7 +113,7 @@ def pieces(docs: DataFrame, *, capacity: int = CAPACITY, vocabulary: str | None
             if row:
                 yield out(row, cols, ids)
 
-    return docs.select("doc_id", "text").mapInArrow(go, fields)
+    return bounded(docs.select("doc_id", "text")).mapInArrow(go, fields)
 
 
 def packing(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, list[tuple[int, int]]]]:

@@ -2,48 +2,51 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..tables import fresh_dir
+
 #: The word pattern of the contracts: runs of anything but blank, tab, LF, VT, FF and CR.
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: A side of at most this many bytes may be broadcast; beyond it joins shuffle.
 BROADCAST_BYTES = 16 << 20
 
-_own_folder: dict[str, str] = {}
+#: Bytes of one Arrow batch between Spark and Python; Spark's own default would let a task hold several times 64 MB.
+BATCH_BYTES = "4m"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the session names it in spark.checkpoint.dir.
+def bounded(df: DataFrame) -> DataFrame:
+    """df, for a scan in Python: the session's Arrow batches are bounded by BATCH_BYTES unless it bounds them more closely.
 
-    Where the setting is missing, a local session (one process, as in tests) gets a temporary folder;
-    a cluster has no such fallback and must name one.
+    Batches have at least a row, so a very long text still goes whole.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    master = spark.sparkContext.master
-    if not master.startswith("local") or master.startswith("local-cluster"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _own_folder:
-        _own_folder[app] = "file://" + tempfile.mkdtemp(prefix="sparkweft-")
-    return _own_folder[app]
-
-
-def fresh_dir(spark: SparkSession, what: str) -> str:
-    """A path of the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, what: str) -> DataFrame:
-    """The frame as a table of the shared folder: cuts lineage and survives the loss of any executor."""
+    key, conf = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession.conf
+    if conf.get(key) == "67108864b":
+        conf.set(key, BATCH_BYTES)
+    return df
+
+
+@contextmanager
+def _by_size(spark: SparkSession):
+    """Inside, adaptive execution joins small partitions up to the advised size, also where that leaves fewer than cores: narrow tables become few files."""
+    key = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def written(df: DataFrame, what: str, files: int | None = None) -> DataFrame:
+    """The frame as a table of the shared folder: cuts lineage and survives the loss of any executor. files bounds the tasks that write it, where the rows are known to be few for each."""
     path = fresh_dir(df.sparkSession, what)
-    df.write.parquet(path)
+    with _by_size(df.sparkSession):
+        (df.coalesce(files) if files else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .ngrams import byte_ngrams, distinct, runs
-from .shared import written
+from .shared import bounded, written
 
 BITS = 20
 SIZES = (3, 4, 5, 6)
@@ -126,7 +126,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, per_class: int = PER_CLASS, featu
     prior = float(np.log(toxic / clean))
     if not n0 or not n1:
         return Model(np.zeros(0, np.int32), np.zeros(0, np.float32), prior)
-    counts = sample.mapInArrow(_bucket_counts, "bucket int, clean long, toxic long").groupBy("bucket").agg((F.sum("toxic") + 1.0).alias("p"), (F.sum("clean") + 1.0).alias("q"))
+    counts = bounded(sample).mapInArrow(_bucket_counts, "bucket int, clean long, toxic long").groupBy("bucket").agg((F.sum("toxic") + 1.0).alias("p"), (F.sum("clean") + 1.0).alias("q"))
     ratio = F.log(F.col("p") / (n1 + 2)) - F.log(F.col("q") / (n0 + 2))
     error = F.sqrt(1 / F.col("p") + 1 / F.col("q"))
     best = counts.select("bucket", ratio.alias("ratio"), (F.abs(ratio) / error).alias("z")).orderBy(F.desc("z"), "bucket").limit(features).collect()
@@ -141,7 +141,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, per_class: int = PER_CLASS, featu
 
 def score(docs: DataFrame, model: Model, *, text: str = "text", output: str = "score") -> DataFrame:
     """Docs with the score of every whole text."""
-    keep = docs.drop(output)
+    keep = bounded(docs.drop(output))
     schema = keep.select("*", F.lit(0.0).alias(output)).schema
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

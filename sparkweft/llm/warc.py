@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import fresh_dir, small, written
+from ..tables import fresh_dir
+from .shared import bounded, small, written
 from .stores import Reader, Writer, dealt
 
 REVISIT_BYTES = 100
@@ -99,7 +100,7 @@ def archive(pages: DataFrame, *, date: str = DATE, revisit_bytes: int = REVISIT_
             yield pa.RecordBatch.from_arrays([columns[0], columns[1], columns[3], pa.array(kinds, pa.string()), pa.array(files, pa.string()), pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64())], names=["page_id", "url", "payload_digest", "record_type", "file", "offset", "length"])
         out.close()
 
-    return written(rows.mapInArrow(go, INDEX), "warc-index")
+    return written(bounded(rows).mapInArrow(go, INDEX), "warc-index")
 
 
 def read(selected: DataFrame, *, payloads: bool = True) -> DataFrame:
@@ -118,4 +119,4 @@ def read(selected: DataFrame, *, payloads: bool = True) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([x[n] for x in found], kinds.get(n, pa.string())) for n in names], names=names)
         reader.close()
 
-    return dealt(selected.select("file", "offset", "length"), "file").mapInArrow(go, fields)
+    return bounded(dealt(selected.select("file", "offset", "length"), "file")).mapInArrow(go, fields)
