@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,14 +38,26 @@ def is_user_method(label: Column, is_external: Column, name: Column, full_name:
     return (label == "METHOD") & (F.lower(is_external) != "true") & ~operator & ~name.isin("<clinit>", "<global>") & ~foreign
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed a single time however often use names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def pairs(text: Column) -> Column:
     """Attributes as array of (k, v), in order; a later value of a key replaces the earlier one, in its place."""
-    keys = F.regexp_extract_all(text, F.lit(PAIR), F.lit(1))
-    quoted = F.regexp_extract_all(text, F.lit(PAIR), F.lit(2))
-    bare = F.regexp_extract_all(text, F.lit(PAIR), F.lit(3))
-    every = F.zip_with(keys, F.zip_with(quoted, bare, lambda q, b: F.when(q != "", q).otherwise(b)), lambda k, v: F.struct(k.alias("k"), v.alias("v")))
-    last = lambda k: F.element_at(F.filter(every, lambda x: x["k"] == k), -1)["v"]
-    return F.transform(F.array_distinct(keys), lambda k: F.struct(k.alias("k"), last(k).alias("v")))
+
+    def every(t: Column) -> Column:
+        part = lambda n: F.regexp_extract_all(t, F.lit(PAIR), F.lit(n))
+        values = F.zip_with(part(2), part(3), lambda q, b: F.when(q != "", q).otherwise(b))
+        return F.zip_with(part(1), values, lambda k, v: F.struct(k.alias("k"), v.alias("v")))
+
+    def last(all_: Column) -> Column:
+        keys = F.array_distinct(F.transform(all_, lambda x: x["k"]))
+        value = lambda k: F.element_at(F.filter(all_, lambda x: x["k"] == k), -1)["v"]
+        # Where no key repeats, as nearly always, the pairs are the answer.
+        return F.when(F.size(keys) == F.size(all_), all_).otherwise(F.transform(keys, lambda k: F.struct(k.alias("k"), value(k).alias("v"))))
+
+    return once(once(text, every), last)
 
 
 def running_pairs(raw: Column) -> Column:

@@ -120,14 +120,16 @@ def user_subgraph(documents: DataFrame, strategy: str = "auto", strict_names: bo
 
     Kept are control-flow edges between kept nodes, and calls from kept nodes to user-defined methods.
     """
-    every = parse.edges(documents)
+    # Each text is parsed once; what follows reads tables.
+    every = written(parse.edges(documents, ["CFG", "CALL"]), "parsed-edges")
+    found = written(parse.method_nodes(parse.nodes(documents), strict_names).select("graph_id", "ord", "node_id", "raw", "user_method"), "parsed-nodes")
     flow, calls = every.where("etype = 'CFG'"), every.where("etype = 'CALL'")
-    methods = user_methods(documents, strict_names)
-    kept = reachable(methods, flow, strategy)
+    methods = found.where("user_method").select("graph_id", "node_id")
+    kept = written(reachable(methods, flow, strategy), "reachable")
     source = lambda df: df.withColumnRenamed("node_id", "src")
     target = lambda df: df.withColumnRenamed("node_id", "dst")
     flow = flow.join(source(kept), ["graph_id", "src"], "left_semi").join(target(kept), ["graph_id", "dst"], "left_semi")
     calls = calls.join(source(kept), ["graph_id", "src"], "left_semi").join(target(methods), ["graph_id", "dst"], "left_semi")
-    defined = parse.last_definitions(parse.nodes(documents)).join(kept, ["graph_id", "node_id"], "left_semi")
+    defined = found.drop("user_method").join(kept, ["graph_id", "node_id"], "left_semi")
     missing = kept.join(defined, ["graph_id", "node_id"], "left_anti")
     return defined, flow.unionByName(calls), missing

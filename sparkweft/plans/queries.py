@@ -130,11 +130,11 @@ def _lossy(docs: DataFrame) -> DataFrame:
     return docs.withColumn("dot", F.regexp_replace("dot", r'(?m)^  "S\d+" \[label="METHOD".*\n', ""))
 
 
-@query("SELECT g AS graph_id, count(DISTINCT dst) AS missing, list_sort(list(DISTINCT dst))[1:5] AS examples FROM edge WHERE t = 'CALL' GROUP BY g")
+@query("SELECT g AS graph_id, count(DISTINCT dst) AS missing, array_to_string(list_sort(list(DISTINCT dst))[1:5], ',') AS examples FROM edge WHERE t = 'CALL' GROUP BY g")
 def subgraph_missing(spark, sf_dir):
     """Endpoints without a definition, and the first five."""
     missing = graph.subgraph(_lossy(documents(spark, sf_dir)))[2]
-    return missing.groupBy("graph_id").agg(F.count(F.lit(1)).alias("missing"), F.slice(F.sort_array(F.collect_list("node_id")), 1, 5).alias("examples"))
+    return missing.groupBy("graph_id").agg(F.count(F.lit(1)).alias("missing"), F.array_join(F.slice(F.sort_array(F.collect_list("node_id")), 1, 5), ",").alias("examples"))
 
 
 @query("SELECT g AS graph_id, src, dst, t AS etype FROM edge WHERE t = 'AST'")
@@ -410,10 +410,10 @@ def sample_ids(spark, sf_dir):
     return rows.select("idx", datasets.sample_id("juliet", idx, rows.columns).alias("juliet_id"), datasets.sample_id("secvaleval", idx, rows.columns).alias("secvaleval_id"), S.hash_prefix(F.col("hash")).alias("prefix"))
 
 
-@query(_B + ", p AS (SELECT project || '_' || (idx % 100) AS sample_id, row_number() OVER (ORDER BY idx) - 1 AS place FROM b) SELECT sample_id, list_sort(list(place)) AS positions FROM p GROUP BY sample_id HAVING count(*) > 1", False)
+@query(_B + ", p AS (SELECT project || '_' || (idx % 100) AS sample_id, row_number() OVER (ORDER BY idx) - 1 AS place FROM b) SELECT sample_id, array_to_string(list_sort(list(place)), ',') AS positions FROM p GROUP BY sample_id HAVING count(*) > 1", False)
 def sample_conflicts(spark, sf_dir):
     rows = _bodies(spark, sf_dir).select("idx", F.concat("project", F.lit("_"), (F.col("idx") % 100).cast("string")).alias("sample_id"))
-    return datasets.conflicts(rows, [F.col("idx")])
+    return datasets.conflicts(rows, [F.col("idx")]).select("sample_id", F.array_join("positions", ",").alias("positions"))
 
 
 @query(_B + "SELECT idx, split FROM b WHERE split IN ('split2', 'split0') ORDER BY split = 'split0', idx LIMIT (SELECT count(*) // 2 FROM b)", False)
