@@ -43,7 +43,10 @@ def normalised(samples: DataFrame, dataset_name: str, order: Sequence[str] = ("f
         if name not in out.columns:
             out = out.withColumn(name, F.lit(value))
     if "idx" not in have:
-        out = out.withColumn("idx", numbered(out, ["split"], [F.col(c) for c in order]))
+        # The number inside the split is the place in (split, order) less the split's first place: no task numbers a whole split.
+        placed = ranked(out, [F.col("split"), *(F.col(c) for c in order)], "_place")
+        firsts = placed.groupBy(F.col("split").alias("_split")).agg(F.min("_place").alias("_first"))  # a row a split
+        out = placed.join(F.broadcast(firsts), F.col("split").eqNullSafe(F.col("_split"))).withColumn("idx", F.col("_place") - F.col("_first")).drop("_place", "_first", "_split")
     kind = dataset_type(have)
     return out.withColumn("sample_id", sample_id(kind, F.col("idx"), [*have, "hash"] if kind == "secvaleval" else have))
 
