@@ -217,6 +217,8 @@ def _pivot_pairs(posts: DataFrame) -> DataFrame:
     hot = posts.where(F.col("many") > SHORT)
     draws = [F.xxhash64(F.col("rep"), F.pmod(F.xxhash64("token"), F.lit(8)), F.lit(i)) for i in range(PIVOTS)]
     pivots = hot.groupBy(F.col("token").alias("_token")).agg(F.array_distinct(F.array(*(F.min_by("rep", d) for d in draws))).alias("pivots"))
+    # As a table, so that the join's sides are plain exchanges, whose large partitions can be split, or the small one is sent to all.
+    pivots = small(written(pivots, "dedup-pivots"), 48)
     near = hot.join(pivots, F.col("token") == F.col("_token")).select("rep", F.explode("pivots").alias("pivot")).where("rep <> pivot")
     return near.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
 
@@ -227,6 +229,7 @@ def _stray_links(hot: DataFrame, docs: DataFrame, classes: DataFrame, found: Dat
     parts = named.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n"))
     lists = parts.groupBy(F.col("token").alias("_token")).agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("all")).where("all > most")
     lists = lists.select("_token", "main", F.ceil(F.col("all") / BLOCK).alias("blocks"), F.ceil((F.col("all") - F.col("most")) / BLOCK).alias("stray_blocks"))
+    lists = small(written(lists, "dedup-lists"), 48)
     rows = written(named.join(lists, F.col("token") == F.col("_token")).drop("_token"), "dedup-mixed")
     draw = F.abs(F.xxhash64("rep") % 1_000_003)
     members = rows.select("token", (draw % F.col("blocks")).alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("stray_blocks") - 1)).alias("stray_block"), "rep", "component", F.lit(False).alias("stray"))
@@ -281,6 +284,7 @@ def near_duplicates(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
     # A document with an empty set is a component of its own.
     reps = rows.where("n_shingles > 0").groupBy(F.col("key").alias("_key")).agg(F.min("doc_id").alias("rep"))
     reps = reps.join(found, F.col("rep") == F.col("node"), "left").select("_key", F.coalesce("component", "rep").alias("component"))
+    reps = written(reps, "dedup-reps")
     named = rows.join(reps, F.col("key") == F.col("_key"), "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return named.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
