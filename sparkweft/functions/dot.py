@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The patterns that decide what a document holds, and the attributes that tell methods apart.
 #: An edge line: the type is the last label of the line; anything may follow the end.
 EDGE = r'(?dU)^"([^"]+)"\s*->\s*"([^"]+)"\s*\[.*label="([^"]+)".*\];'
 #: An edge line with all that stands between its brackets.

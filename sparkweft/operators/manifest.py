@@ -22,7 +22,7 @@ LEAST_CPG, LEAST_DOT = 1000, 100
 
 
 def outcome(again: Column, cpg_bytes: Column, document: Column) -> Column:
-    """(status, stage, error_message) of a sample: whether its id came before, and what the external tool left."""
+    """(status, stage, error_message) of a sample: whether its id came before, and what the external tool left. The texts are fixed values."""
     said = lambda status, stage, text: F.struct(F.lit(status).alias("status"), F.lit(stage).alias("stage"), (text if isinstance(text, Column) else F.lit(text)).alias("error_message"))
     size = F.coalesce(cpg_bytes, F.lit(0))
     length = F.coalesce(F.octet_length(document), F.lit(0))
