@@ -20,8 +20,11 @@ from sparkweft.llm.shared import written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; learned from the languages that docs state."""
-    found = langid.identify(docs, langid.fit(docs), lang="_pred", score="_score").where(F.col("_pred") != langid.UNKNOWN)
+    """Documents whose language is recognised; learned from the languages that docs state. If they state none, any text with a letter stays."""
+    model = langid.fit(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = langid.identify(docs, model, lang="_pred", score="_score").where(F.col("_pred") != langid.UNKNOWN)
     return found.withColumn("lang", F.coalesce("lang", "_pred")).select(docs.columns)
 
 

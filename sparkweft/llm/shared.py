@@ -20,12 +20,12 @@ BATCH_BYTES = "4m"
 
 
 def bounded(df: DataFrame) -> DataFrame:
-    """df, for a scan in Python: the session's Arrow batches are bounded by BATCH_BYTES unless it bounds them more closely.
+    """df, for a scan in Python: the session's Arrow batches are bounded by BATCH_BYTES unless it sets a bound itself.
 
     Batches have at least a row, so a very long text still goes whole.
     """
     key, conf = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession.conf
-    if conf.get(key) == "67108864b":
+    if conf.get(key, None) is None:
         conf.set(key, BATCH_BYTES)
     return df
 

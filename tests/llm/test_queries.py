@@ -78,6 +78,8 @@ def test_pipeline_stage_by_stage(spark, odd, empty):
     assert one.columns == docs.columns
     assert {r.doc_id for r in docs.collect()} - {r.doc_id for r in one.collect()} == {10_000, 10_001, 10_002}
     assert one.where("doc_id = 10003").first().lang is not None
+    unstated = stages["language"](spark, docs.withColumn("lang", F.lit(None).cast("string")), DATA)
+    assert unstated.columns == docs.columns and unstated.count() == one.count()
     two = stages["near_dedup"](spark, one, DATA)
     want = components_by_hand([(r.doc_id, r.text) for r in one.collect()], neardup.WORDS)
     assert sorted(r.doc_id for r in two.collect()) == sorted(i for i, (_, c) in want.items() if i == c)
