@@ -58,7 +58,7 @@ def test_media(spark):
 
 
 def test_near_duplicates(spark):
-    from test_operators import components_by_hand
+    from test_llm_operators import components_by_hand
 
     docs = documents(spark)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in queries.QUERIES["op10_near_duplicates"](spark, DATA).collect()}
@@ -67,7 +67,7 @@ def test_near_duplicates(spark):
 
 def test_pipeline_stage_by_stage(spark, odd, empty):
     """Each stage's decisions, on real and odd rows."""
-    from test_operators import components_by_hand
+    from test_llm_operators import components_by_hand
 
     extra = [(10_000 + i, t, lang, s, None) for i, (t, lang, s) in enumerate([(None, "en", "x"), ("...", "en", "x"), ("12 34", None, None), ("the house and the garden of the king", None, "x"), ("secret = 'abcdefghijklmnop' end", "en", "x")])]
     docs = documents(spark)
