@@ -11,7 +11,8 @@ sqrt(n) / 8 buckets; ranks inside a bucket and the counts of the buckets before
 Only DataFrame functions run here.
 
 Defined results: a null source is a source of its own and stands last; null and empty texts have size 0;
-repeated rows count each; an empty table gives an empty result; other columns are carried along by `mixed`.
+repeated rows count each; an empty table gives an empty result; other columns, whatever their names, are carried along by
+`mixed`. Rows are repeated if they share doc_id, source and text; a null text is not the empty one.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import WORD, small, written
+from .shared import WORD, free_prefix, own, small, written
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
@@ -38,6 +39,11 @@ def _hex(text: Column, digits: int) -> Column:
     return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("long")
 
 
+def text_hash(text: Column) -> Column:
+    """60 bits of a text; -1 for null."""
+    return F.coalesce(_hex(text, 15), F.lit(-1).cast("long"))
+
+
 def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
     """(source, source_rows, source_size, target) from rows (source, size).
 
@@ -75,7 +81,7 @@ def _keyed(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source:
         F.col(doc_id).alias("doc_id"),
         F.col(source).alias("source"),
         word_count(F.col(text)).alias("size"),
-        F.xxhash64(F.col(text)).alias("text_hash"),
+        text_hash(F.col(text)).alias("text_hash"),
     ]
 
 
@@ -89,7 +95,8 @@ def sampling_plan(
     rows = sizes.groupBy("doc_id", "source", "size", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
     rows = rows.join(targets, F.col("source").eqNullSafe(F.col("of"))).drop("of")
     buckets = F.ceil(F.sqrt(F.col("source_rows").cast("double")) / 8)
-    draw = _hex(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 8)
+    # The text counts in the draw too, so that rows of one id, or of none, are dealt over all buckets of their source.
+    draw = _hex(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("text_hash").cast("string")), 8)
     rows = written(rows.withColumn("bucket", draw % buckets), "mix-rows")
     # Each task's sums meet here: one row per source and bucket.
     counts = rows.groupBy("source", "bucket").agg(F.sum("rows").alias("bucket_rows"))
@@ -121,16 +128,18 @@ def sampled(plan: DataFrame) -> DataFrame:
 def mixed(docs: DataFrame, *, weights: Sequence[int] = WEIGHTS, max_repeat: int = MAX_REPEAT, seed: str = SEED) -> DataFrame:
     """The mix itself: docs' own columns, each document as often as the sample takes it.
 
-    Repeated rows (same doc_id, source and text) share their copies; the first of them stands for all.
+    Repeated rows share their copies; of them, that whose JSON comes first stands for all.
     """
+    p, columns = free_prefix(docs), own(docs)
     plan = sampling_plan(docs, weights=weights, max_repeat=max_repeat, seed=seed)
     total = crossed(F.col("before"), F.col("before") + F.col("rows"), F.col("rate"), F.col("offset"))
-    plan = plan.select(*(F.col(c).alias(f"_mix_{c}") for c in ("doc_id", "source", "text_hash", "rows")), total.alias("_mix_total")).where("_mix_total > 0")
-    on = F.col("doc_id").eqNullSafe(F.col("_mix_doc_id")) & F.col("source").eqNullSafe(F.col("_mix_source")) & (F.xxhash64("text") == F.col("_mix_text_hash"))
+    total = F.least(total, F.col("rows") * F.ceil("rate"))
+    plan = plan.select(*(F.col(c).alias(p + c) for c in ("doc_id", "source", "text_hash", "rows")), total.alias(p + "total")).where(F.col(p + "total") > 0)
+    on = F.col("doc_id").eqNullSafe(F.col(p + "doc_id")) & F.col("source").eqNullSafe(F.col(p + "source")) & (text_hash(F.col("text")) == F.col(p + "text_hash"))
     both = docs.join(plan, on)
-    again = [F.col(f"row.{c}").alias(c) for c in docs.columns]
-    single = both.where("_mix_rows = 1").select(*docs.columns, "_mix_total")
+    single = both.where(F.col(p + "rows") == 1).select(*columns, p + "total")
     # Groups of repeated rows: one row of each, with the copies of all.
-    several = both.where("_mix_rows > 1").groupBy("_mix_doc_id", "_mix_source", "_mix_text_hash").agg(F.first(F.struct(*docs.columns)).alias("row"), F.first("_mix_total").alias("_mix_total")).select(*again, "_mix_total")
-    rows = single.unionByName(several)
-    return rows.withColumn("_mix_nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_total")))).select(*docs.columns)
+    row = F.struct(*columns)
+    several = both.where(F.col(p + "rows") > 1).groupBy(p + "doc_id", p + "source", p + "text_hash").agg(F.min_by(row, F.to_json(row)).alias(p + "row"), F.first(p + "total").alias(p + "total"))
+    several = several.select(f"{p}row.*", p + "total")
+    return single.union(several).withColumn(p + "nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col(p + "total")))).select(*columns)

@@ -17,7 +17,8 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP1_SQL = """
 WITH s AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+    coalesce(('0x' || substr(md5(text), 1, 15))::BIGINT, -1) AS th FROM documents
 ), per AS (
   SELECT source, count(*) AS n, sum(size)::BIGINT AS source_size,
     (CASE (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END)::BIGINT AS w
@@ -35,13 +36,13 @@ WITH s AS (
     ELSE ((SELECT total - capped FROM lev WHERE place = f) * l.w)::DOUBLE / (SELECT share FROM lev WHERE place = f) END AS target
   FROM lev l, firsts
 ), placed AS (
-  SELECT s.doc_id, s.source, s.size, t.source_size, t.target,
-    ('0x' || substr(md5('mix:' || coalesce(s.doc_id::VARCHAR, '')), 1, 8))::BIGINT % ceil(sqrt(t.n::DOUBLE) / 8)::BIGINT AS bucket,
+  SELECT s.doc_id, s.source, s.size, s.th, t.source_size, t.target,
+    ('0x' || substr(md5('mix:' || coalesce(s.doc_id::VARCHAR, '') || ':' || s.th), 1, 8))::BIGINT % ceil(sqrt(t.n::DOUBLE) / 8)::BIGINT AS bucket,
     ('0x' || substr(md5('mix:source:' || coalesce(s.source, '')), 1, 4))::BIGINT / 65536.0::DOUBLE AS u,
     CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0::DOUBLE END AS r
   FROM s JOIN tgt t ON s.source IS NOT DISTINCT FROM t.source
 ), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY source ORDER BY bucket, size, doc_id ASC NULLS LAST) AS k FROM placed
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY bucket, size, doc_id ASC NULLS LAST, th) AS k FROM placed
 )
 SELECT doc_id, size, source_size, target,
   (least(floor(k * r + u) - floor((k - 1) * r + u), ceil(r))::BIGINT * size)::BIGINT AS taken

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..tables import fresh_dir
@@ -59,5 +59,18 @@ def small(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def free_prefix(docs: DataFrame) -> str:
+    """A prefix with which no column of docs starts, in any case: columns named with it clash with none of them."""
+    names, out = [c.lower() for c in docs.columns], "_"
+    while any(n.startswith(out) for n in names):
+        out += "_"
+    return out
+
+
+def own(docs: DataFrame) -> list[Column]:
+    """The columns of docs as they are, whatever characters their names have."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
