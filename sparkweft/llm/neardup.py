@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import bounded, small, written
+from .shared import bounded, free_prefix, own, small, written
 
 WORDS = 5
 PERCENT = 80
@@ -291,15 +291,18 @@ def near_duplicates(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
 
 
 def deduplicated(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The docs that are kept, with all their columns; of repeated rows (same doc_id and text) one."""
+    """The docs that are kept, with all their columns; of repeated rows (same doc_id and text) that whose JSON comes first."""
     result = written(near_duplicates(docs, words=words, percent=percent), "dedup-result")
+    name = free_prefix(docs) + "id"
     kept = result.where("kept and doc_id is not null")
-    gone = result.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_id")).distinct()
-    twice = kept.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_id")
-    out = docs.join(small(written(gone, "dedup-gone"), 16), F.col("doc_id") == F.col("_id"), "left_anti")
+    gone = result.where("not kept and doc_id is not null").select(F.col("doc_id").alias(name)).distinct()
+    twice = kept.groupBy(F.col("doc_id").alias(name)).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(name)
+    out = docs.join(small(written(gone, "dedup-gone"), 16), F.col("doc_id") == F.col(name), "left_anti")
     twice = written(twice, "dedup-twice")
     if twice.isEmpty():
         return out
     again = small(twice, 16)
-    once = out.join(again, F.col("doc_id") == F.col("_id"), "left_anti")
-    return once.unionByName(out.join(again, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id", "text"]))
+    once = out.join(again, F.col("doc_id") == F.col(name), "left_anti")
+    row = F.struct(*own(docs))
+    several = out.join(again, F.col("doc_id") == F.col(name), "left_semi").groupBy("doc_id", "text").agg(F.min_by(row, F.to_json(row)).alias(name))
+    return once.union(several.select(f"{name}.*"))
