@@ -1,9 +1,10 @@
 """Secret scans over a trigram inverted index.
 
 For each rule a Boolean trigram query is derived from its regular expression: a disjunction of
-conjunctions of trigrams that every match must contain. Posting lists of the trigrams that some rule
-asks for are built over all documents and intersected; the documents that remain are candidates, and
-only they are scanned with the rule. Rules without a mandatory trigram scan every text.
+conjunctions of trigrams that every match must contain. The index posts every document under all trigrams of its text,
+so it serves any rules, and later ones without another scan. The lists that a rule's query names are
+intersected; the documents that remain are candidates, and only they are scanned with the rule. Rules without a
+mandatory trigram scan every text.
 
 Trigrams are taken from lower-cased text, and queries ignore case, so a candidate set only errs by
 being too large. A posting names a document by a hash of its id and text; a clash of hashes can only
@@ -12,7 +13,7 @@ add a candidate.
 Only DataFrame functions run here. Spans count code points, their end is exclusive.
 
 Defined results: null text counts as empty; an empty table gives an empty result; repeated rows are scanned
-each; other columns stay, except those named like a result column, which are replaced.
+each; other columns stay, whatever their names, except one named like the result column, which is replaced.
 """
 
 from __future__ import annotations
@@ -24,10 +25,12 @@ from re import _parser as parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import small, written
+from .shared import free_prefix, own, small, written
 
 #: Alternatives followed while a query is derived; beyond it the strings so far are turned into trigrams.
 MAX_STRINGS = 256
+#: Characters of a text whose trigrams are taken at a time.
+BLOCK = 4096
 
 
 @dataclass(frozen=True)
@@ -136,27 +139,36 @@ def trigram_query(pattern: str) -> list[frozenset[str]]:
     return min(queries, key=lambda q: (len(q), -min(map(len, q)))) if queries else []
 
 
-def postings(docs: DataFrame, trigrams: Sequence[str], text: Column, key: Column) -> DataFrame:
-    """The inverted index: (trigram, doc) for each asked trigram that a lower-cased text contains."""
-    there = F.array_compact(F.array(*(F.when(F.contains(F.col("_low"), F.lit(t)), F.lit(t)) for t in trigrams)))
-    rows = docs.select(key.alias("doc"), F.lower(text).alias("_low"))
-    return rows.select(F.explode(there).alias("trigram"), "doc")
+def document_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """What a posting names a document by."""
+    return F.xxhash64(F.col(doc_id), F.col(text))
+
+
+def inverted_index(docs: DataFrame, text: Column, key: Column) -> DataFrame:
+    """The index's postings (trigram, doc): every trigram of every lower-cased text, whatever rules will ask for.
+
+    A text is cut into blocks that overlap by two characters, so no array grows with the text; a
+    trigram may be posted once for each block.
+    """
+    blocks = F.regexp_extract_all(F.lower(text), F.lit(rf"(?s)(?=(.{{3,{BLOCK + 2}}})).{{1,{BLOCK}}}"), F.lit(1))
+    rows = docs.select(key.alias("doc"), F.explode(blocks).alias("block"))
+    return rows.select(F.explode(F.array_distinct(F.regexp_extract_all("block", F.lit("(?s)(?=(...))"), F.lit(1)))).alias("trigram"), "doc")
 
 
 def candidates(index: DataFrame, queries: dict[int, list[frozenset[str]]]) -> DataFrame:
-    """(doc, rules): by intersecting postings, the rules (as bits) whose query a document meets."""
+    """(doc, rules): by intersecting postings, the numbers of the rules whose query a document meets."""
     asked = sorted(set().union(*(s for q in queries.values() for s in q)))
-    bit = {t: 1 << i for i, t in enumerate(asked)}
-    number = F.create_map(*(x for t in asked for x in (F.lit(t), F.lit(bit[t]).cast("long"))))
-    has = index.where(F.col("trigram").isin(asked)).groupBy("doc").agg(F.bit_or(number[F.col("trigram")]).alias("has"))
-    rules = F.lit(0)
+    has = index.where(F.col("trigram").isin(asked)).groupBy("doc").agg(F.collect_set("trigram").alias("has"))  # at most the asked ones
+    met = []
     for n, query in queries.items():
-        met = F.lit(False)
+        any_of = F.lit(False)
         for conjunction in query:
-            mask = F.lit(sum(bit[t] for t in conjunction)).cast("long")
-            met = met | (F.col("has").bitwiseAND(mask) == mask)
-        rules = rules.bitwiseOR(F.when(met, F.lit(1 << n)).otherwise(F.lit(0)))
-    return has.select("doc", rules.alias("rules")).where("rules <> 0")
+            every = F.lit(True)
+            for t in sorted(conjunction):
+                every = every & F.array_contains("has", t)
+            any_of = any_of | every
+        met.append(F.when(any_of, F.lit(n)))
+    return has.select("doc", F.array_compact(F.array(*met)).alias("rules")).where(F.size("rules") > 0)
 
 
 def _found(text: Column, rule: Rule, order: int) -> Column:
@@ -184,27 +196,27 @@ def _found(text: Column, rule: Rule, order: int) -> Column:
     return F.aggregate(parts, start, add, lambda acc: acc["spans"])
 
 
-def scan(docs: DataFrame, rules: Sequence[Rule] = BASE + MORE, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Docs with column spans: all spans of a text in order of start, as array of (start, kind, end); kind is the rule's place."""
-    if not rules or len(rules) > 30:
-        raise ValueError("between 1 and 30 rules")
+def scan(docs: DataFrame, rules: Sequence[Rule] = BASE + MORE, *, text: str = "text", doc_id: str = "doc_id", output: str = "spans", index: DataFrame | None = None) -> DataFrame:
+    """Docs with column output: all spans of a text in order of start, as array of (start, kind, end); kind is the rule's place.
+
+    index: postings that inverted_index made of the same docs before, keyed by document_key; without it they are made.
+    """
+    if not rules:
+        raise ValueError("no rules")
     queries = {n: q for n, r in enumerate(rules) if (q := trigram_query(r.pattern))}
-    body, key = F.coalesce(F.col(text), F.lit("")), F.xxhash64(F.col(doc_id), F.col(text))
+    body, p = F.coalesce(F.col(text), F.lit("")), free_prefix(docs)
     empty = F.array().cast("array<struct<start:long,kind:int,end:long>>")
-    rows = docs.drop("spans")
+    rows = docs
     if queries:
-        asked = sorted(set().union(*(s for q in queries.values() for s in q)))
-        if len(asked) > 62:
-            raise ValueError("the rules ask for more than 62 trigrams; scan them in two calls")
-        index = written(postings(docs, asked, body, key), "secret-postings")
-        found = written(candidates(index, queries), "secret-candidates").withColumnRenamed("doc", "_doc").withColumnRenamed("rules", "_rules")
-        rows = rows.join(small(found, 32), key == F.col("_doc"), "left")
+        index = written(inverted_index(docs, body, document_key(doc_id, text)), "secret-postings") if index is None else index
+        found = written(candidates(index, queries), "secret-candidates").withColumnRenamed("doc", p + "doc").withColumnRenamed("rules", p + "rules")
+        rows = rows.join(small(found, 32 + 4 * len(rules)), document_key(doc_id, text) == F.col(p + "doc"), "left")
     spans = []
     for n, rule in enumerate(rules):
-        asked_for = (F.col("_rules").bitwiseAND(F.lit(1 << n)) != 0) if n in queries else body.rlike(rule.pattern)
+        asked_for = F.coalesce(F.array_contains(p + "rules", n), F.lit(False)) if n in queries else body.rlike(rule.pattern)
         spans.append(F.when(asked_for, _found(body, rule, n)).otherwise(empty))
-    keep = [c for c in docs.columns if c != "spans"]
-    return rows.select(*keep, F.array_sort(F.concat(*spans)).alias("spans"))
+    keep = [c for c, name in zip(own(docs), docs.columns, strict=True) if name.lower() != output.lower()]
+    return rows.select(*keep, F.array_sort(F.concat(*spans)).alias(output))
 
 
 def spelled(spans: Column, rules: Sequence[Rule] = BASE + MORE) -> Column:
@@ -215,7 +227,8 @@ def spelled(spans: Column, rules: Sequence[Rule] = BASE + MORE) -> Column:
 
 def redacted(docs: DataFrame, rules: Sequence[Rule] = BASE + MORE, *, text: str = "text", doc_id: str = "doc_id", mask: str = "[SECRET]") -> DataFrame:
     """Docs with the text of every span replaced by mask; overlapping spans are replaced as one. Null texts stay null."""
-    found = scan(docs, rules, text=text, doc_id=doc_id)
+    spans = free_prefix(docs) + "spans"
+    found = scan(docs, rules, text=text, doc_id=doc_id, output=spans)
 
     def cut(acc: Column, s: Column) -> Column:
         inside = s["start"] < acc["at"]
@@ -224,5 +237,5 @@ def redacted(docs: DataFrame, rules: Sequence[Rule] = BASE + MORE, *, text: str
 
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
     rest = lambda acc: F.concat(acc["out"], F.col(text).substr((acc["at"] + 1).cast("int"), F.length(text)))
-    clean = F.when(F.size("spans") == 0, F.col(text)).otherwise(F.aggregate("spans", start, cut, rest))
-    return found.withColumn(text, clean).select(*[c for c in docs.columns])
+    clean = F.when(F.size(spans) == 0, F.col(text)).otherwise(F.aggregate(spans, start, cut, rest))
+    return found.withColumn(text, clean).select(*own(docs))
