@@ -8,7 +8,8 @@ Of records with equal payloads of at least REVISIT_BYTES, that with the smallest
 without the payload, which name the response, the digest and, in their HTTP header, the full length.
 Only payloads that occur twice matter for that, so the pages are joined with those alone.
 
-Defined results: null html is an empty payload; a null url has no WARC-Target-URI; a null page_id is left out of the
+Defined results: null html is an empty payload; a null url has no WARC-Target-URI; one that is no valid URI stands there
+percent-encoded and is read back as given; a null page_id is left out of the
 record's id and read back as null, and never counts as the smallest unless all are null: then all are responses;
 rows that repeat the smallest page_id are responses too. An empty table gives an empty index. Other columns are not archived.
 """
@@ -16,6 +17,7 @@ rows that repeat the smallest page_id are responses too. An empty table gives an
 from __future__ import annotations
 
 import hashlib
+import json
 import zlib
 from collections.abc import Iterator
 from urllib.parse import quote
@@ -32,6 +34,8 @@ REVISIT_BYTES = 100
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ID = "urn:x-page:"
+#: The URL as the page has it, where that is no valid URI.
+GIVEN = "X-Given-URL"
 INDEX = "page_id long, url string, payload_digest string, record_type string, file string, offset long, length long"
 
 
@@ -44,7 +48,10 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
     block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     lines = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {_id(page_id)}", f"WARC-Date: {date}"]
     if url is not None:
-        lines.append(f"WARC-Target-URI: {quote(url, safe=':/?#[]@!$&()*+,;=%~-._')}")
+        target = quote(url, safe=":/?#[]@!$&()*+,;=%~-._")
+        lines.append(f"WARC-Target-URI: {target}")
+        if target != url:  # JSON is ASCII without line ends, and restores any text
+            lines.append(f"{GIVEN}: {json.dumps(url)}")
     lines.append(f"WARC-Payload-Digest: sha256:{digest}")
     if refers_to is None:
         block += payload
@@ -71,7 +78,7 @@ def parsed(member: bytes) -> dict:
     if kind == "response" and (len(payload) != stated or hashlib.sha256(payload).hexdigest() != digest):
         raise ValueError(f"the payload of {fields['WARC-Record-ID']} is damaged")
     refers = number(fields["WARC-Refers-To"]) if "WARC-Refers-To" in fields else None
-    return {"record_type": kind, "page_id": number(fields["WARC-Record-ID"]), "url": fields.get("WARC-Target-URI"), "payload_digest": digest, "refers_to": refers, "payload_bytes": stated, "payload": payload if kind == "response" else None}
+    return {"record_type": kind, "page_id": number(fields["WARC-Record-ID"]), "url": json.loads(fields[GIVEN]) if GIVEN in fields else fields.get("WARC-Target-URI"), "payload_digest": digest, "refers_to": refers, "payload_bytes": stated, "payload": payload if kind == "response" else None}
 
 
 def archive(pages: DataFrame, *, date: str = DATE, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
