@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkweft.llm import langid, mixing, neardup, packing, secrets
-from sparkweft.llm.shared import written
+from sparkweft.llm.shared import free_prefix, own, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,8 +24,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit(docs)
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    found = langid.identify(docs, model, lang="_pred", score="_score").where(F.col("_pred") != langid.UNKNOWN)
-    return found.withColumn("lang", F.coalesce("lang", "_pred")).select(docs.columns)
+    p = free_prefix(docs)
+    found = langid.identify(docs, model, lang=f"{p}lang", score=f"{p}score").where(F.col(f"{p}lang") != langid.UNKNOWN)
+    return found.withColumn("lang", F.coalesce("lang", f"{p}lang")).select(*own(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
