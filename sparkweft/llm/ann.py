@@ -52,6 +52,8 @@ BEAM = 48
 #: Nodes of a beam that a step opens.
 STEP = 8
 CHUNK = 4096
+#: Vectors that one task routes at least.
+TASK = 8192
 
 
 def usable(vector: Column) -> Column:
@@ -310,16 +312,16 @@ def _search(every: DataFrame, queries: Column, k: int, sample: int, replicas: in
     least = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
     distinct = every.select("vec_id", "vector").distinct().withColumn("n", least).where(F.col("n") <= k + 1).groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))  # at most k + 1 to a vector
     distinct = written(distinct.select(F.get("ids", F.lit(0)).alias("id"), "vector", "ids"), "ann-distinct")
-    largest = F.array_max(F.transform("vector", lambda x: F.abs(x)))
-    norm = F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + (x / largest) * (x / largest), lambda a: F.sqrt(a) * largest))
-    size = distinct.agg(F.count(F.lit(1)).alias("n"), F.least(norm, F.lit(1e308)).alias("norm")).first()
+    size = distinct.agg(F.count(F.lit(1)).alias("n"), F.max(F.greatest(F.array_max("vector"), -F.array_min("vector"))).alias("largest")).first()
+    unit = distinct.agg(F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + (x / size["largest"]) * (x / size["largest"])))).first()[0]
+    norm = min(float(np.sqrt(unit)) * size["largest"], 1e308)
     # A sample of the expected size, drawn by a hash of the id: no task sorts, and as many rows at any number of vectors.
     draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
     chosen = distinct if size["n"] <= sample else distinct.where(draw < int((1 << 30) * sample / size["n"]))
     chosen = _matrix(chosen.select("id", "vector").orderBy("id").toArrow().column("vector"))  # one order, so that reruns agree
-    model = fit(chosen, size["norm"], k, replicas, closure, wanted)
-    schema = "id long, vector array<double>, ids array<long>, lists array<int>"
-    members = written(distinct.mapInArrow(_listed(lambda v: model.lists_to_fill(model.lifted(v), replicas, closure)), schema), "ann-lists")
+    model = fit(chosen, norm, k, replicas, closure, wanted)
+    schema, files = "id long, vector array<double>, ids array<long>, lists array<int>", 1 + size["n"] // TASK
+    members = written(distinct.mapInArrow(_listed(lambda v: model.lists_to_fill(model.lifted(v), replicas, closure)), schema), "ann-lists", files)
     # One number for each centroid on the driver; the sample bounds them.
     sizes = np.zeros(len(model.centroids), np.int64)
     for r in members.select(F.explode("lists").alias("list")).groupBy("list").count().collect():
@@ -333,7 +335,7 @@ def _search(every: DataFrame, queries: Column, k: int, sample: int, replicas: in
     members = members.select("id", "vector", "ids", F.explode(parts).alias("p")).select("id", "vector", "ids", "p.shard", "p.lists")
     asked = every.where(queries).select(F.col("vec_id").alias("id"), "vector", F.array().cast("array<long>").alias("ids")).distinct()
     # A vector is on at most `replicas` lists, so that many entries hold k others than the query's own.
-    asked = written(asked.mapInArrow(_listed(lambda v: model.lists_to_search(model.lifted_queries(v), sizes, (k + 1) * replicas), shard), schema + ", shard int"), "ann-asked")
+    asked = written(asked.mapInArrow(_listed(lambda v: model.lists_to_search(model.lifted_queries(v), sizes, (k + 1) * replicas), shard), schema + ", shard int"), "ann-asked", files)
     chunks = [-(-int(n) // CHUNK) for n in np.bincount(shard, sizes, shards)]
     blocks = [1] * shards
     for r in asked.groupBy("shard").count().collect():
