@@ -1,25 +1,24 @@
 """Language identification by hyperdimensional profiles.
 
-Every letter has a random vector of DIMENSIONS signs. The vector of an n-gram of three letters binds,
-by multiplying, the letters' vectors permuted by their place (rolled by 2, 1 and 0); a text's vector is
-the bundle, the sum over its n-grams. A language's prototype bundles the n-grams of all its learned
-texts, as shares, less the mean of all languages. A text goes to the language whose prototype has the largest cosine with
-its vector.
+Every letter has a random vector of DIMENSIONS signs, drawn by its code point, so any letter of any script has one of its own and no
+table of letters is kept. The vector of an n-gram of three letters binds, by multiplying, the letters' vectors
+permuted by their place (rolled by 2, 1 and 0); a text's vector is the bundle, the sum over its n-grams. A language's
+prototype bundles the n-grams of all its learned texts. A text goes to the language whose prototype has the largest
+cosine with its vector.
 
-The inner product of a text's vector with a prototype is the sum over the text's n-grams of the n-gram
-vectors' inner products with it, so these are tabled once for each n-gram seen in learning, with the
-full DIMENSIONS, and no text's vector is spelled out. Its norm is that of independent n-gram vectors,
-sqrt(DIMENSIONS * sum of squared counts), from which the real norm differs by about 1/sqrt(DIMENSIONS).
+Letters are lower-cased; anything else is a break between words, with a vector of its own, and runs of breaks count as one.
 
-Letters are lower-cased; a to z have codes of their own, all other letters share the rest of CODES by
-code point; anything else is a break between words, and runs of breaks count as one.
+Vectors of texts are made in runs: the n-grams of a run are numbered from the commonest on, and their vectors, made STEP
+at a time, are added up to the texts that have them, for common ones by a product of matrices, for rare ones pair by
+pair. Both sums are whole numbers, exact up to 2**24 n-grams of a text. Memory is bounded by RUN_CHARS, RUN_TEXTS and STEP.
 
-Fitting counts n-grams over all learned texts: each task sums up its own rows, and tasks' sums meet by
-n-gram. A text is learned if its language is not null. The table has one column for each language.
+Fitting makes one vector for each language a run holds and adds up its components by language in the JVM. A text is learned if its
+language is not null. The model holds DIMENSIONS numbers for each language, however many there are.
 
 Defined results: a null text, or one without a letter, is `und` with score 0; without learned languages all
-are; repeated rows come out alike; an empty table gives an empty result. Other columns stay, except those
-named like a result column, which are replaced. Ties go to the language that comes first by code point.
+are; repeated rows come out alike; an empty table gives an empty result. A learned language whose texts hold no letter
+is never predicted. Other columns stay, except those named like a result column, which are replaced. Ties go to the language
+that comes first by code point.
 """
 
 from __future__ import annotations
@@ -33,127 +32,154 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ngrams import distinct, owners, runs
+from .ngrams import owners, runs
 from .shared import bounded
 
-DIMENSIONS = 8192
-CODES = 64
-BITS = 18
+DIMENSIONS = 4096
 SEED = 7
-#: Languages that one model may have; the driver holds a table of n-grams by languages.
-MAX_LANGUAGES = 512
+#: Characters and texts that are worked on at once, and n-gram vectors that are held at once.
+RUN_CHARS, RUN_TEXTS, STEP = 1 << 19, 512, 4096
+#: A sum by matrices costs about this many times less for a pair of text and n-gram.
+DENSE = 32
+#: Languages whose sums a task holds before it passes them on.
+HELD = 64
 UNKNOWN = "und"
 
 
 @cache
-def _letters() -> np.ndarray:
-    """For each code point its letter code, 0 for what is no letter."""
-    out = np.zeros(0x110000, np.uint8)
-    letters = np.array([c for c in range(0x110000) if chr(c).isalpha()])
-    out[letters] = 27 + letters % (CODES - 27)
-    out[ord("a") : ord("z") + 1] = np.arange(1, 27)
-    return out
+def _is_letter() -> np.ndarray:
+    return np.array([chr(c).isalpha() for c in range(0x110000)])
 
 
 def trigrams(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places of texts, their distinct n-grams (as numbers of BITS bits) and counts."""
+    """Places of texts, their distinct n-grams (three code points of 21 bits, 0 for a break) and counts."""
     low = [f" {t.lower()} " for t in texts]
-    points = np.frombuffer("".join(low).encode("utf-32-le", "surrogatepass"), np.uint32)
-    of, code = owners([len(t) for t in low]), _letters()[points]
+    points = np.frombuffer("".join(low).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    of = owners([len(t) for t in low])
+    code = np.where(_is_letter()[points], points, 0)
     start = np.empty(len(of), bool)
     start[:1], start[1:] = True, of[1:] != of[:-1]
     before = np.concatenate([[1], code[:-1]]) if len(code) else code
     keep = (code != 0) | (before != 0) | start
-    of, code = of[keep], code[keep].astype(np.int32)
-    gram = (code[:-2] << 12) | (code[1:-1] << 6) | code[2:]
+    of, code = of[keep], code[keep]
+    gram = (code[:-2] << 42) | (code[1:-1] << 21) | code[2:]
     whole = (of[:-2] == of[2:]) & (gram != 0) if len(code) > 2 else np.zeros(0, bool)
-    return distinct(of[:-2][whole], gram[whole], BITS)
+    names, number = np.unique(gram[whole], return_inverse=True)
+    both, counts = np.unique(of[:-2][whole].astype(np.int64) * max(len(names), 1) + number, return_counts=True)
+    return (both // max(len(names), 1)).astype(np.int32), names[both % max(len(names), 1)] if len(names) else gram[:0], counts
+
+
+def letter_vectors(points: np.ndarray) -> np.ndarray:
+    """The signs of letters, from bits that a mixing function makes of code point and place."""
+    words = points.astype(np.uint64)[:, None] * np.uint64(DIMENSIONS) + np.arange(DIMENSIONS // 64, dtype=np.uint64)
+    words = (words + np.uint64(SEED)) * np.uint64(0x9E3779B97F4A7C15)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        words = (words ^ (words >> np.uint64(shift))) * np.uint64(factor)
+    words ^= words >> np.uint64(31)
+    return (np.unpackbits(words.view(np.uint8), axis=1).astype(np.int8) << 1) - 1
+
+
+def gram_vectors(grams: np.ndarray) -> np.ndarray:
+    """The bound vectors of n-grams."""
+    points, place = np.unique(np.concatenate([grams >> 42, (grams >> 21) & 0x1FFFFF, grams & 0x1FFFFF]), return_inverse=True)
+    letters = letter_vectors(points)
+    first, second, third = np.split(place, 3)
+    return np.roll(letters, 2, axis=1)[first] * np.roll(letters, 1, axis=1)[second] * letters[third]
+
+
+def bundled(of: np.ndarray, gram: np.ndarray, n: np.ndarray, rows: int) -> np.ndarray:
+    """A vector for each of so many rows: the sum of the vectors of its n-grams, n times each."""
+    out = np.zeros((rows, DIMENSIONS), np.float64)
+    names, number, common = np.unique(gram, return_inverse=True, return_counts=True)
+    rank = np.empty(len(names), np.int64)
+    rank[np.argsort(-common, kind="stable")] = np.arange(len(names))
+    number = rank[number]
+    order = np.lexsort((of, number // STEP))
+    of, number, n = of[order], number[order], n[order].astype(np.float32)
+    names = names[np.argsort(rank)]
+    ends = np.searchsorted(number // STEP, np.arange(len(names) // STEP + 2))
+    for i in range(0, len(names), STEP):
+        a, b = ends[i // STEP], ends[i // STEP + 1]
+        vectors = gram_vectors(names[i : i + STEP])
+        if (b - a) * DENSE > rows * len(vectors):
+            counts = np.zeros((rows, len(vectors)), np.float32)
+            counts[of[a:b], number[a:b] - i] = n[a:b]
+            out += counts @ vectors.astype(np.float32)
+            continue
+        for j in range(a, b, STEP):
+            part = slice(j, min(j + STEP, b))
+            first = np.flatnonzero(np.diff(of[part], prepend=-1))
+            out[of[part][first]] += np.add.reduceat(vectors[number[part] - i] * n[part, None], first, axis=0)
+    return out
 
 
 @dataclass(frozen=True)
 class Model:
-    """Languages, and for each known n-gram its vector's inner product with the languages' unit prototypes, over sqrt(DIMENSIONS)."""
+    """Languages and their prototypes, of length 1 (0 for a language without letters)."""
 
     languages: list[str]
-    grams: np.ndarray
-    products: np.ndarray
+    prototypes: np.ndarray
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (lang, place, n): the bundles of a task's languages, component by component."""
     sums: dict[str, np.ndarray] = {}
     for batch in batches:
         langs, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
-        for a, b in runs(texts):
-            doc, gram, n = trigrams(texts[a:b])
+        for a, b in runs(texts, RUN_CHARS, RUN_TEXTS):
+            of, gram, n = trigrams(texts[a:b])
             names, which = np.unique(np.array(langs[a:b], object), return_inverse=True)
-            for i, name in enumerate(names):
-                own = which[doc] == i
-                sums[name] = sums.get(name, 0) + np.bincount(gram[own], n[own], minlength=1 << BITS).astype(np.int64)
-            if len(sums) > 16:  # a task's memory doesn't grow with the number of languages
-                yield from _said(sums)
+            vectors = bundled(*_merged(which[of], gram, n), len(names))
+            for name, vector in zip(names, vectors.astype(np.int64), strict=True):
+                sums[name] = sums.get(name, 0) + vector
+            if len(sums) > HELD:
+                yield _said(sums)
                 sums = {}
-    yield from _said(sums)
+    if sums:
+        yield _said(sums)
 
 
-def _said(sums: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-    for name, counts in sums.items():
-        at = np.flatnonzero(counts)
-        yield pa.record_batch([pa.array([name] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(counts[at])], names=["lang", "gram", "n"])
+def _said(sums: dict[str, np.ndarray]) -> pa.RecordBatch:
+    place = pa.array(np.tile(np.arange(DIMENSIONS, dtype=np.int32), len(sums)))
+    return pa.record_batch([pa.array(np.repeat(np.array(list(sums), object), DIMENSIONS), pa.string()), place, pa.array(np.concatenate(list(sums.values())))], names=["lang", "place", "n"])
 
 
-def gram_vectors(grams: np.ndarray) -> np.ndarray:
-    """The bound vectors of n-grams."""
-    letters = np.where(np.random.default_rng(SEED).random((CODES, DIMENSIONS)) < 0.5, -1, 1).astype(np.int8)
-    second, first = np.roll(letters, 1, axis=1), np.roll(letters, 2, axis=1)
-    return first[grams >> 12] * second[(grams >> 6) & 63] * letters[grams & 63]
+def _merged(of: np.ndarray, gram: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts of equal (of, gram) added up."""
+    order = np.lexsort((gram, of))
+    of, gram, n = of[order], gram[order], n[order]
+    first = np.flatnonzero((np.diff(of, prepend=-1) != 0) | (np.diff(gram, prepend=-1) != 0))
+    return of[first], gram[first], np.add.reduceat(n, first) if len(first) else n
 
 
 def fit(docs: DataFrame) -> Model:
     """Learns from all docs (text, lang) whose lang is not null."""
     learned = docs.select("lang", F.coalesce("text", F.lit("")).alias("text")).where("lang is not null")
-    counts = bounded(learned).mapInArrow(_count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    # At most 2**BITS n-grams by MAX_LANGUAGES languages, whatever the number of documents.
-    found = counts.toPandas()
-    languages = sorted(found["lang"].unique())
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"{len(languages)} languages; a model takes {MAX_LANGUAGES}")
-    grams = np.sort(found["gram"].unique()).astype(np.int32)
-    share = np.zeros((len(languages), len(grams)), np.float32)
-    share[[languages.index(x) for x in found["lang"]], np.searchsorted(grams, found["gram"])] = found["n"]
-    share /= share.sum(axis=1, keepdims=True)
-    if len(languages) > 1:
-        share -= share.mean(axis=0)
-    prototypes = np.zeros((len(languages), DIMENSIONS), np.float32)
-    for i in range(0, len(grams), 1024):
-        prototypes += share[:, i : i + 1024] @ gram_vectors(grams[i : i + 1024]).astype(np.float32)
-    prototypes /= np.maximum(np.linalg.norm(prototypes, axis=1, keepdims=True), 1e-30)
-    products = np.zeros((len(grams), len(languages)), np.float32)
-    for i in range(0, len(grams), 1024):
-        products[i : i + 1024] = gram_vectors(grams[i : i + 1024]).astype(np.float32) @ prototypes.T
-    return Model([str(x) for x in languages], grams, products / np.float32(np.sqrt(DIMENSIONS)))
+    sums = bounded(learned).mapInArrow(_sums, "lang string, place int, n long").groupBy("lang", "place").agg(F.sum("n").alias("n"))
+    # One row for each language and dimension, whatever the number of documents.
+    found = sums.toArrow()
+    languages, which = np.unique(np.array(found.column("lang").to_pylist(), object), return_inverse=True)
+    prototypes = np.zeros((len(languages), DIMENSIONS))
+    prototypes[which, found.column("place").to_numpy()] = found.column("n").to_numpy()
+    prototypes /= np.maximum(np.linalg.norm(prototypes, axis=1, keepdims=True), 1)
+    return Model([str(x) for x in languages], prototypes)
 
 
 def predicted(texts: Sequence[str | None], model: Model) -> tuple[list[str], np.ndarray]:
     """Languages and cosines, cut to 0..1."""
     body = [t or "" for t in texts]
     lang, score = [UNKNOWN] * len(body), np.zeros(len(body))
-    if not model.languages:
+    learned = model.prototypes.any(axis=1)
+    if not learned.any():
         return lang, score
-    place = np.full(1 << BITS, -1, np.int32)
-    place[model.grams] = np.arange(len(model.grams), dtype=np.int32)
-    for a, b in runs(body):
-        doc, gram, n = trigrams(body[a:b])
-        square = np.bincount(doc, n.astype(np.float64) ** 2, minlength=b - a)
-        at = place[gram]
-        known = at >= 0
-        cosine = np.empty((b - a, len(model.languages)))
-        for k in range(len(model.languages)):
-            cosine[:, k] = np.bincount(doc[known], n[known] * model.products[at[known], k], minlength=b - a)
+    for a, b in runs(body, RUN_CHARS, RUN_TEXTS):
+        of, gram, n = trigrams(body[a:b])
+        vectors = bundled(of, gram, n, b - a)
+        cosine = np.where(learned, vectors @ model.prototypes.T / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1), -2)
         best = cosine.argmax(axis=1)
-        top = cosine[np.arange(b - a), best] / np.sqrt(np.maximum(square, 1))
-        for i in np.flatnonzero(square):
+        for i in np.unique(of):
             lang[a + i] = model.languages[best[i]]
-        score[a:b] = np.where(square > 0, np.clip(top, 0, 1), 0)
+            score[a + i] = min(max(cosine[i, best[i]], 0.0), 1.0)
     return lang, score
 
 

@@ -10,11 +10,11 @@ import numpy as np
 RUN_CHARS = 1 << 20
 
 
-def runs(texts: Sequence[str], most: int = RUN_CHARS) -> Iterator[tuple[int, int]]:
-    """Slices of texts with about most characters; a longer text has a slice of its own."""
+def runs(texts: Sequence[str], most: int = RUN_CHARS, many: int = 1 << 30) -> Iterator[tuple[int, int]]:
+    """Slices of texts with about most characters and at most many texts; a longer text has a slice of its own."""
     first, total = 0, 0
     for at, text in enumerate(texts):
-        if at > first and total + len(text) > most:
+        if at > first and (total + len(text) > most or at - first >= many):
             yield first, at
             first, total = at, 0
         total += len(text)
@@ -27,27 +27,27 @@ def owners(lengths: Sequence[int]) -> np.ndarray:
     return np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
 
 
-def byte_ngrams(texts: Sequence[str], sizes: Sequence[int], bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each size: buckets of all byte n-grams (sizes up to 8, hashed to bits) of lower-cased texts, and their texts' places."""
-    raw = [b" " + t.lower().encode("utf-8", "replace") + b" " for t in texts]
-    data = np.frombuffer(b"".join(raw), np.uint8)
-    of = owners([len(x) for x in raw])
-    packed = data.astype(np.uint64)
-    grown, at = packed.copy(), 1
+def character_sets(texts: Sequence[str], sizes: Sequence[int], bits: int, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Places of texts and the numbers of their distinct n-grams, in order; those of weight 0, if weights are given, are left out.
+
+    An n-gram of lower-cased characters (a text has a blank before and after it) is numbered by a hash of its code points and size.
+    """
+    low = [f" {t.lower()} " for t in texts]
+    points = np.frombuffer("".join(low).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
+    of, found = owners([len(t) for t in low]), [np.zeros(0, np.int64)]
+    grown, at = points.copy(), 1
     for n in sorted(sizes):
         while at < n:
-            grown = grown[: len(data) - at] | (packed[at:] << np.uint64(8 * at))
+            grown = grown[: max(len(points) - at, 0)] * np.uint64(0x9E3779B97F4A7C15) + points[at:]
             at += 1
-        whole = of[: len(grown)] == of[at - 1 :]
-        mixed = (grown ^ np.uint64(n * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) * np.uint64(0xD6E8FEB86659FD93)
-        mixed ^= mixed >> np.uint64(32)
-        mixed *= np.uint64(0xD6E8FEB86659FD93)
-        yield (mixed >> np.uint64(64 - bits)).astype(np.int32)[whole], of[: len(grown)][whole]
-
-
-def distinct(of: np.ndarray, code: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (text, code) pairs and their counts."""
-    both = np.sort((of.astype(np.int64) << bits) | code)
-    first = np.flatnonzero(np.diff(both, prepend=-1))
-    counts = np.diff(first, append=len(both))
-    return (both[first] >> bits).astype(np.int32), (both[first] & ((1 << bits) - 1)).astype(np.int32), counts
+        mixed = (grown ^ (grown >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+        number = (mixed >> np.uint64(64 - bits)).astype(np.int64)
+        take = of[: len(grown)] == of[at - 1 :] if len(grown) else np.zeros(0, bool)
+        if weights is not None:
+            take &= weights[number] != 0
+        found.append((of[: len(grown)][take].astype(np.int64) << bits) | number[take])
+    both = np.concatenate(found)
+    both.sort()
+    both = both[np.diff(both, prepend=-1) != 0]
+    return (both >> bits).astype(np.int32), (both & ((1 << bits) - 1)).astype(np.int32)
