@@ -11,7 +11,7 @@ those of up to REPLICAS centroids whose distance is at most CLOSURE times the le
 nearer to that one than the vector is. A query goes to the lists whose centroid's distance is at most a ratio times that
 of the nearest, up to a number of lists, and in any case on to the next lists until these hold k candidates for sure.
 Ratio and number are those at which sampled queries find WANTED of their nearest in the sample with the fewest lists;
-they have no upper bound, so where lists tell nothing, all are searched.
+they have no upper bound, so where lists tell nothing, all are searched. Vectors are replicated only if, by that count, it saves comparisons.
 
 Inner products become distances by one more component: a vector over the largest norm gets what it lacks to
 length 1, a query gets 0. Scores are inner products in double precision of the vectors as given.
@@ -72,6 +72,7 @@ class Model:
     norm: float
     ratio: float = 1.0
     probes: int = 1
+    replicas: int = 1
 
     def lifted(self, vectors: np.ndarray) -> np.ndarray:
         unit = vectors / self.norm
@@ -91,9 +92,9 @@ class Model:
             far.append(d[:, :k])
         return np.concatenate(found), np.concatenate(far)
 
-    def lists_to_fill(self, points: np.ndarray, replicas: int, closure: float) -> tuple[np.ndarray, np.ndarray]:
+    def lists_to_fill(self, points: np.ndarray, closure: float) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (place of a point, list that it is put on)."""
-        found, far = self.nearest(points, replicas)
+        found, far = self.nearest(points, self.replicas)
         take = far <= far[:, :1] * closure + 1e-6
         for j in range(1, found.shape[1]):
             for i in range(j):
@@ -116,10 +117,14 @@ class Model:
             todo, k = todo[~done], 4 * k
         return np.concatenate([np.zeros(0, np.int64), *rows]), np.concatenate([np.zeros(0, np.int64), *lists])
 
-    def calibrated(self, sample: np.ndarray, points: np.ndarray, k: int, replicas: int, closure: float, wanted: float) -> Model:
-        """The model with the ratio and number of lists at which the wanted share of sampled queries' nearest k is on lists that are searched."""
+    def calibrated(self, points: np.ndarray, sample: np.ndarray, k: int, replicas: int, closure: float, wanted: float) -> Model:
+        """The model with as many replicas, the ratio and the number of lists at which the wanted share of sampled queries' nearest k is on lists that are searched, with the fewest comparisons."""
+        tries = [replace(self, replicas=n)._calibrated(points, sample, k, closure, wanted) for n in sorted({1, replicas})]
+        return min(tries, key=lambda x: x[0])[1]
+
+    def _calibrated(self, points: np.ndarray, sample: np.ndarray, k: int, closure: float, wanted: float) -> tuple[float, Model]:
         asked = np.linspace(0, len(sample) - 1, min(QUERIES, len(sample))).astype(int)
-        queries, needed, ranks = self.lifted_queries(sample[asked]), [], []
+        queries, needed, ranks, entries = self.lifted_queries(sample[asked]), [], [], []
         far = np.sqrt(np.maximum(0, 1 + (self.centroids**2).sum(axis=1) - 2 * queries @ self.centroids.T))
         score = points[:, :-1] @ queries[:, :-1].T
         for j, own in enumerate(asked):
@@ -127,13 +132,14 @@ class Model:
             best = np.argpartition(-score[:, j], min(k, len(sample) - 1))[:k]
             best = best[best != own]
             if len(best):
-                row, lists = self.lists_to_fill(points[best], replicas, closure)
+                row, lists = self.lists_to_fill(points[best], closure)
+                entries.append(len(lists) / len(best))
                 nearest = np.full(len(best), np.inf)
                 np.minimum.at(nearest, row, far[j, lists])
                 needed.append(nearest / max(far[j].min(), 1e-6))
                 ranks.append((far[j] < nearest[:, None]).sum(axis=1))
         if not needed:
-            return self
+            return 0, self
         ratio, rank = np.concatenate(needed), np.concatenate(ranks)
         ratios = np.sort(far / np.maximum(far.min(axis=1, keepdims=True), 1e-6), axis=1)
         found, best, probes = int(np.ceil(wanted * len(rank))), None, 1
@@ -145,7 +151,7 @@ class Model:
                 if best is None or cost < best[0]:
                     best = cost, float(least), probes
             if probes >= len(self.centroids):
-                return replace(self, ratio=best[1], probes=best[2])
+                return best[0] * np.mean(entries), replace(self, ratio=best[1], probes=best[2])
             probes = probes * 17 // 16 + 1
 
     def _beam(self, points: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -229,7 +235,7 @@ def fit(sample: np.ndarray, norm: float, k: int = 20, replicas: int = REPLICAS,
     far = np.random.default_rng(5).integers(0, len(centroids), (len(centroids), 3))
     graph = np.hstack([near, far, (np.arange(len(centroids))[:, None] + 1) % len(centroids)]).astype(np.int32)
     starts = np.unique(np.linspace(0, len(centroids) - 1, min(len(centroids), 32)).astype(np.int32))
-    return replace(model, centroids=centroids, graph=graph, starts=starts).calibrated(sample, points, k, replicas, closure, wanted)
+    return replace(model, centroids=centroids, graph=graph, starts=starts).calibrated(points, sample, k, replicas, closure, wanted)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -321,7 +327,7 @@ def _search(every: DataFrame, queries: Column, k: int, sample: int, replicas: in
     chosen = _matrix(chosen.select("id", "vector").orderBy("id").toArrow().column("vector"))  # one order, so that reruns agree
     model = fit(chosen, norm, k, replicas, closure, wanted)
     schema, files = "id long, vector array<double>, ids array<long>, lists array<int>", 1 + size["n"] // TASK
-    members = written(distinct.mapInArrow(_listed(lambda v: model.lists_to_fill(model.lifted(v), replicas, closure)), schema), "ann-lists", files)
+    members = written(distinct.mapInArrow(_listed(lambda v: model.lists_to_fill(model.lifted(v), closure)), schema), "ann-lists", files)
     # One number for each centroid on the driver; the sample bounds them.
     sizes = np.zeros(len(model.centroids), np.int64)
     for r in members.select(F.explode("lists").alias("list")).groupBy("list").count().collect():
@@ -334,8 +340,8 @@ def _search(every: DataFrame, queries: Column, k: int, sample: int, replicas: in
     parts = F.transform(F.array_distinct(F.transform("lists", shard_of)), lambda s: F.struct(s.alias("shard"), F.filter("lists", lambda x: shard_of(x) == s).alias("lists")))
     members = members.select("id", "vector", "ids", F.explode(parts).alias("p")).select("id", "vector", "ids", "p.shard", "p.lists")
     asked = every.where(queries).select(F.col("vec_id").alias("id"), "vector", F.array().cast("array<long>").alias("ids")).distinct()
-    # A vector is on at most `replicas` lists, so that many entries hold k others than the query's own.
-    asked = written(asked.mapInArrow(_listed(lambda v: model.lists_to_search(model.lifted_queries(v), sizes, (k + 1) * replicas), shard), schema + ", shard int"), "ann-asked", files)
+    # A vector is on at most that many lists, so that many entries hold k others than the query's own.
+    asked = written(asked.mapInArrow(_listed(lambda v: model.lists_to_search(model.lifted_queries(v), sizes, (k + 1) * model.replicas), shard), schema + ", shard int"), "ann-asked", files)
     chunks = [-(-int(n) // CHUNK) for n in np.bincount(shard, sizes, shards)]
     blocks = [1] * shards
     for r in asked.groupBy("shard").count().collect():

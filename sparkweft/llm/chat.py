@@ -5,7 +5,7 @@ an attachment leaves a numbered placeholder, its reference and the number of tok
 expands to. A turn becomes `### role: content </turn>` and a line feed.
 
 Control strings inside texts get a backslash before them, as backslashes do, so that a text
-cannot end its turn or open another, and reading back restores it exactly. The loss mask covers the
+cannot end its turn, open another or name an attachment, and reading back restores it, and with `restored` the parts, exactly. The loss mask covers the
 content of the turns of one role.
 
 Formatting works on single rows and moves none. Reading back sorts the rows of a conversation and takes
@@ -14,7 +14,8 @@ a conversation has to see it in order, in one task.
 
 Content is a text, or with `typed` a JSON array of parts such as {"type": "image", "ref": "a.png", "width": 640, "height": 480}.
 
-Defined results: null text is an empty text, null role an empty role; rows of a null conv_id are one conversation; turns of equal
+Defined results: a null field of a part counts as "" or 0; content that is no such array, or has an unknown type, an unknown field or a value of
+the wrong kind, is one text, as it stands. Null text is an empty text, null role an empty role; rows of a null conv_id are one conversation; turns of equal
 number go by role and text; a null turn goes first; repeated rows are turns each. An empty table gives an empty result. Other columns are dropped.
 """
 
@@ -25,7 +26,7 @@ import json
 import math
 import re
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field, fields
 from urllib.parse import quote, unquote
 
 import pyarrow as pa
@@ -45,6 +46,8 @@ _escape = re.compile("|".join(map(re.escape, ("\\", *CONTROLS))))
 _unescape = re.compile(r"\\(\\|" + "|".join(map(re.escape, CONTROLS)) + ")")
 #: The next escaped string, placeholder or end of a turn.
 _next = re.compile(r"\\(?:\\|" + "|".join(map(re.escape, CONTROLS)) + r")| </turn>\n")
+#: The next escaped string or placeholder.
+_mark = re.compile(r"\\(?:\\|" + "|".join(map(re.escape, CONTROLS)) + r")|<\|(?:image|audio|document):(\d+)\|>")
 _head = re.compile(r"### ([^:]*): ")
 
 
@@ -97,40 +100,57 @@ KINDS: dict[str, type] = {"text": Text, "image": Image, "audio": Audio, "documen
 
 
 def parts_of(content: str | None, typed: bool = False) -> list[Part]:
-    """The parts of a content column's value; text that is no array of parts is one text part."""
+    """The parts of a content column's value; what is no array of parts with fields of the right kinds is one text part, whole."""
     if typed and (content or "").lstrip().startswith("["):
         try:
-            return [KINDS[x.pop("type")](**x) for x in json.loads(content)]
-        except (ValueError, KeyError, TypeError, AttributeError):
+            return [_part(dict(x)) for x in json.loads(content)]
+        except (ValueError, KeyError, TypeError, RecursionError):
             pass
     return [Text(content or "")]
 
 
+def _part(given: dict) -> Part:
+    """A part from its JSON object; null fields have their defaults. Raises where it is none."""
+    kind = KINDS[given.pop("type")]
+    values = {}
+    for f in fields(kind):
+        value = given.pop(f.name, None)
+        if value is None:
+            value = "" if f.type == "str" else 0
+        right = isinstance(value, str) if f.type == "str" else not isinstance(value, bool) and isinstance(value, int if f.type == "int" else int | float) and 0 <= value < 1 << 40
+        if not right:
+            raise TypeError(f"{f.name}: {value!r}")
+        values[f.name] = float(value) if f.type == "float" else value
+    if given:
+        raise KeyError(*given)
+    return kind(**values)
+
+
 @dataclass
 class Visitor:
-    """Flattens parts: out is the content, attachments are (kind, number, reference, tokens)."""
+    """Flattens parts: out is the content, attachments are (kind, number, reference, tokens, the part as JSON)."""
 
     out: list[str] = field(default_factory=list)
-    attachments: list[tuple[str, int, str, int]] = field(default_factory=list)
+    attachments: list[tuple[str, int, str, int, str]] = field(default_factory=list)
 
     def text(self, part: Text) -> None:
         self.out.append(escaped(part.text))
 
-    def _attach(self, kind: str, ref: str, tokens: int) -> None:
-        self.attachments.append((kind, len(self.attachments), ref, tokens))
+    def _attach(self, kind: str, part: Part, tokens: int) -> None:
+        self.attachments.append((kind, len(self.attachments), part.ref, tokens, json.dumps({"type": kind, **asdict(part)})))
         self.out.append(f"<|{kind}:{len(self.attachments) - 1}|>")
 
     def image(self, part: Image) -> None:
-        self._attach("image", part.ref, math.ceil(part.width / PATCH) * math.ceil(part.height / PATCH))
+        self._attach("image", part, math.ceil(part.width / PATCH) * math.ceil(part.height / PATCH))
 
     def audio(self, part: Audio) -> None:
-        self._attach("audio", part.ref, math.ceil(part.seconds * AUDIO_TOKENS_A_SECOND))
+        self._attach("audio", part, math.ceil(part.seconds * AUDIO_TOKENS_A_SECOND))
 
     def document(self, part: Document) -> None:
-        self._attach("document", part.ref, part.pages * DOCUMENT_TOKENS_A_PAGE)
+        self._attach("document", part, part.pages * DOCUMENT_TOKENS_A_PAGE)
 
 
-def turn(role: str | None, parts: Sequence[Part], loss_role: str = LOSS_ROLE) -> tuple[str, int, int, list[tuple[str, int, str, int]]]:
+def turn(role: str | None, parts: Sequence[Part], loss_role: str = LOSS_ROLE) -> tuple[str, int, int, list[tuple[str, int, str, int, str]]]:
     """The formatted turn, start and end of its loss mask (equal: none), and its attachments."""
     visitor = Visitor()
     for part in parts:
@@ -140,17 +160,17 @@ def turn(role: str | None, parts: Sequence[Part], loss_role: str = LOSS_ROLE) ->
     return f"{head}{body} </turn>\n", len(head), end, visitor.attachments
 
 
-FORMATTED = "conv_id long, turn long, formatted string, loss_start long, loss_end long, attachments array<struct<kind:string,number:int,ref:string,tokens:long>>"
+FORMATTED = "conv_id long, turn long, formatted string, loss_start long, loss_end long, attachments array<struct<kind:string,number:int,ref:string,tokens:long,part:string>>"
 
 
 def formatted_turns(rows: DataFrame, *, typed: bool = False, loss_role: str = LOSS_ROLE) -> DataFrame:
     """Rows (conv_id, turn, role, text) as formatted turns with their loss mask, in code points, and attachments."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("kind", pa.string()), ("number", pa.int32()), ("ref", pa.string()), ("tokens", pa.int64())]))
+        kind = pa.list_(pa.struct([("kind", pa.string()), ("number", pa.int32()), ("ref", pa.string()), ("tokens", pa.int64()), ("part", pa.string())]))
         for batch in batches:
             made = [turn(r, parts_of(t, typed), loss_role) for r, t in zip(batch.column("role").to_pylist(), batch.column("text").to_pylist(), strict=True)]
-            attached = [[dict(zip(("kind", "number", "ref", "tokens"), a, strict=True)) for a in x[3]] for x in made]
+            attached = [[dict(zip(("kind", "number", "ref", "tokens", "part"), a, strict=True)) for a in x[3]] for x in made]
             columns = [batch.column("conv_id"), batch.column("turn"), pa.array([x[0] for x in made], pa.string()), pa.array([x[1] for x in made], pa.int64()), pa.array([x[2] for x in made], pa.int64()), pa.array(attached, kind)]
             yield pa.RecordBatch.from_arrays(columns, names=["conv_id", "turn", "formatted", "loss_start", "loss_end", "attachments"])
 
@@ -158,7 +178,28 @@ def formatted_turns(rows: DataFrame, *, typed: bool = False, loss_role: str = LO
 
 
 def parsed(formatted: str) -> list[tuple[str, str]]:
-    """Roles and unescaped contents of formatted turns; placeholders stay as they are."""
+    """Roles and unescaped contents of formatted turns; placeholders stay as they are (restored tells them from texts)."""
+    return [(role, unescaped(body)) for role, body in _turns(formatted)]
+
+
+def restored(body: str, attachments: Sequence[str]) -> list[Part]:
+    """The parts of a turn's content as formatted: texts unescaped, and for each placeholder the part that the attachments have as JSON.
+
+    A placeholder has no backslash before it, whereas what looks like one inside a text does. Neighbouring texts come back as one, empty texts not at all.
+    """
+    out: list[Part] = []
+    at = start = 0
+    while found := _mark.search(body, at):
+        at = found.end()
+        if found[1] is not None:
+            out += [Text(unescaped(body[start : found.start()])), _part(json.loads(attachments[int(found[1])]))]
+            start = at
+    out.append(Text(unescaped(body[start:])))
+    return [x for x in out if x != Text("")]
+
+
+def _turns(formatted: str) -> list[tuple[str, str]]:
+    """Roles and contents of formatted turns, escaped."""
     out, at = [], 0
     while at < len(formatted):
         head = _head.match(formatted, at)
@@ -169,7 +210,7 @@ def parsed(formatted: str) -> list[tuple[str, str]]:
             place = found.end()
         if not found:
             raise ValueError(f"the turn at {at} has no end")
-        out.append((unquote(head[1]), unescaped(formatted[head.end() : found.start()])))
+        out.append((unquote(head[1]), formatted[head.end() : found.start()]))
         at = found.end()
     return out
 

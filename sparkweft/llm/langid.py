@@ -31,11 +31,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 from .ngrams import owners, runs
-from .shared import bounded
+from .shared import bounded, extended
 
-DIMENSIONS = 4096
+DIMENSIONS = 2048
 SEED = 7
 #: Characters and texts that are worked on at once, and n-gram vectors that are held at once.
 RUN_CHARS, RUN_TEXTS, STEP = 1 << 19, 512, 4096
@@ -185,12 +186,9 @@ def predicted(texts: Sequence[str | None], model: Model) -> tuple[list[str], np.
 
 def identify(docs: DataFrame, model: Model, *, text: str = "text", lang: str = "lang_pred", score: str = "lang_score") -> DataFrame:
     """Docs with the predicted language of every whole text, and its cosine."""
-    keep = bounded(docs.drop(lang, score))
-    schema = keep.select("*", F.lit("").alias(lang), F.lit(0.0).alias(score)).schema
 
-    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names, scores = predicted(batch.column(text).to_pylist(), model)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores)], names=[*batch.schema.names, lang, score])
+    def of(texts: list) -> list[pa.Array]:
+        names, scores = predicted(texts, model)
+        return [pa.array(names, pa.string()), pa.array(scores)]
 
-    return keep.mapInArrow(go, schema)
+    return extended(docs, text, [(lang, StringType()), (score, DoubleType())], of)

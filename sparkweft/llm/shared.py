@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 from ..tables import fresh_dir
 
@@ -72,5 +75,24 @@ def own(docs: DataFrame) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
 
 
+def extended(docs: DataFrame, column: str, fields: Sequence[tuple[str, DataType]], of: Callable[[list], list[pa.Array]]) -> DataFrame:
+    """docs with more columns, which of() computes from lists of a column's values, by Arrow batches.
+
+    Columns named like one of fields are replaced; all others stay, whatever their names: in Python they go by number.
+    """
+    new = {name.lower() for name, _ in fields}
+    kept = [(c, name) for c, name in zip(own(docs), docs.columns, strict=True) if name.lower() not in new]
+    numbered = docs.select(*(c.alias(f"c{i}") for i, (c, _) in enumerate(kept)))
+    at = [name.lower() for _, name in kept].index(column.lower())
+    names = [f"c{i}" for i in range(len(kept) + len(fields))]
+    schema = StructType([*numbered.schema.fields, *(StructField(names[len(kept) + i], kind) for i, (_, kind) in enumerate(fields))])
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, *of(batch.column(at).to_pylist())], names=names)
+
+    return bounded(numbered).mapInArrow(go, schema).toDF(*(name for _, name in kept), *(name for name, _ in fields))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -24,9 +24,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from .ngrams import character_sets, runs
-from .shared import bounded, written
+from .shared import bounded, extended, written
 
 BITS = 20
 SIZES = (3, 4, 5)
@@ -129,16 +130,13 @@ def fit(docs: DataFrame, labels: DataFrame, *, per_class: int = PER_CLASS, sampl
 
 def score(docs: DataFrame, model: Model, *, text: str = "text", output: str = "score") -> DataFrame:
     """Docs with the score of every whole text."""
-    keep = bounded(docs.drop(output))
-    schema = keep.select("*", F.lit(0.0).alias(output)).schema
-
-    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t or "" for t in batch.column(text).to_pylist()]
-            total = np.zeros(len(texts))
-            for a, b in runs(texts):
-                of, gram = character_sets(texts[a:b], SIZES, BITS, model.weights)
-                total[a:b] = np.bincount(of, model.weights[gram], minlength=b - a)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_sigmoid(total + model.intercept))], names=[*batch.schema.names, output])
-
-    return keep.mapInArrow(go, schema)
+
+    def of(texts: list) -> list[pa.Array]:
+        texts = [t or "" for t in texts]
+        total = np.zeros(len(texts))
+        for a, b in runs(texts):
+            doc, gram = character_sets(texts[a:b], SIZES, BITS, model.weights)
+            total[a:b] = np.bincount(doc, model.weights[gram], minlength=b - a)
+        return [pa.array(_sigmoid(total + model.intercept))]
+
+    return extended(docs, text, [(output, DoubleType())], of)

@@ -184,17 +184,66 @@ def test_nearest_odd_rows(spark):
     assert [tuple(r)[:3] for r in ann.search(vectors(spark, [(0, [1.0], 1), (1, [2.0], 1)]), F.col("vec_id") == 0).collect()] == [(0, 1, 1)]
 
 
-def test_recall(spark):
-    rng = np.random.default_rng(1)
-    data = rng.normal(size=(4000, 24)) * rng.uniform(0.5, 2, (4000, 1))
+def gaussian(n, d):
+    return np.random.default_rng(1).normal(size=(n, d))
+
+
+@pytest.mark.parametrize(
+    ("name", "data", "most"),
+    [
+        ("wide", gaussian(4000, 24) * np.random.default_rng(2).uniform(0.5, 2, (4000, 1)), 0.6),
+        ("line", np.c_[np.arange(3000) + 1.0, np.ones(3000)], 0.1),
+        ("short line", np.c_[np.arange(40) + 1.0, np.ones(40)], 2),
+        ("tight clusters", np.repeat(gaussian(30, 16), 100, 0) + gaussian(3000, 16) * 1e-3, 0.1),
+        ("tiny and huge", gaussian(2000, 16) * 10.0 ** np.random.default_rng(3).integers(-150, 150, (2000, 1)), 1.01),
+        ("underflow", np.array([[1e-200, 0.0], [1.0, 1.0], [0.0, 1e200], [1.0, 0.0]] * 10), 10),
+    ],
+)
+def test_nearest_are_all_there(spark, name, data, most):
+    """Each query gets 20 rows or all candidates, mostly the nearest, for fewer inner products than a scan of all."""
     rows = vectors(spark, [(i, v.tolist(), 0) for i, v in enumerate(data)], "array<double>")
-    found = ann.search(rows, F.col("vec_id") % 20 == 0).collect()
+    found = ann.found(rows, F.col("vec_id") % 20 == 0).persist()
+    asked = range(0, len(data), 20)
+    products = found.agg(F.sum("products")).first()[0]
+    assert products <= most * len(asked) * len(data)
+    got = collections.defaultdict(set)
+    for r in ann.search(rows, F.col("vec_id") % 20 == 0).collect():
+        got[r.query_id].add(r.vec_id)
+    found.unpersist()
+    wanted = min(20, len(data) - 1)
+    assert all(len(got[q]) == wanted and q not in got[q] for q in asked)
     hits = 0
-    for q in range(0, 4000, 20):
-        s = data @ data[q]
-        s[q] = -np.inf
-        hits += len(set(np.argsort(-s)[:20]) & {r.vec_id for r in found if r.query_id == q})
-    assert hits / (200 * 20) >= 0.9
+    for q in asked:
+        score = (data * data[q]).sum(axis=1)
+        score[q] = -np.inf
+        least = np.sort(score)[-wanted]
+        hits += int((score[list(got[q])] >= least).sum())
+    assert hits >= 0.9 * wanted * len(asked)
+
+
+def test_each_length_is_searched(spark):
+    rows = [(i, [float(i), 1.0], 0) for i in range(1, 30)] + [(100 + i, [1.0, 2.0, float(i)], 0) for i in range(5)] + [(200, [7.0], 0)]
+    got = collections.defaultdict(list)
+    for r in ann.search(vectors(spark, rows, "array<double>"), F.lit(True), 3).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    assert got[5] == [29, 28, 27] and got[100] == [101, 102, 103] and 200 not in got and len(got) == 34
+
+
+def test_graph_search_and_lists():
+    """Beam search finds most of the nearest centroids without meeting all; fillers keep to the boundary rule; the floor of lists holds."""
+    model = ann.fit(gaussian(40_000, 12), 8.0, per_centroid=8)
+    points = model.lifted(gaussian(300, 12)[::-1])
+    near, far = model._beam(points, ann.BEAM)
+    assert ann.BEAM * model.graph.shape[1] < len(model.centroids) and (np.diff(far, axis=1) >= 0).all()
+    best = model._every(points, 4)[0]
+    assert np.mean([len(set(a[:8]) & set(b)) / 4 for a, b in zip(near, best, strict=True)]) >= 0.9
+    row, lists = ann.replace(model, replicas=4).lists_to_fill(points, 1.1)
+    assert set(row) == set(range(300)) and len(row) < 2 * 300 and len(set(zip(row, lists))) == len(row)
+    sizes = np.full(len(model.centroids), 3)
+    row, lists = ann.replace(model, ratio=0.0, probes=0).lists_to_search(points, sizes, 84)
+    assert (np.bincount(row) == 28).all() and len(set(zip(row, lists))) == len(row)
+    row, _ = ann.replace(model, ratio=0.0, probes=0).lists_to_search(points[:3], sizes, 10**9)
+    assert (np.bincount(row) == len(model.centroids)).all()
 
 
 # Packing.
@@ -251,12 +300,18 @@ def test_packed_sequences(odd, empty):
 
 
 def test_tokens_are_those_of_tokenizers():
+    """Every code point in several places, random mixtures, added tokens' strings, and long runs."""
     from tokenizers import Tokenizer
 
     path = packing.default_vocabulary()
     slow, fast = Tokenizer.from_file(path), packing.encoder(path)
-    for text in ("", " ", "a  b\n\n c\t", "it's we'll don’t", "ü\U0001f600​　x", "<|endoftext|> x", "x" * 500, " " * 300 + "y", "\u0000﻿\r\n", "1234567 89"):
-        assert fast(text) == slow.encode(text, add_special_tokens=False).ids
+    rng = np.random.default_rng(8)
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["", " ", "a  b\n\n c\t", "it's we'll don’t", "<|endoftext|>", "a <|endoftext|> b<|endoftext|><|endoftext|>", "<|endoftext", "x" * 500_000, " " * 300_000 + "y", "\u0000﻿\r\n", "1234567 89"]
+    texts += ["".join(f"a{chr(c)}b {chr(c)} 1{chr(c)}\n{chr(c)}{chr(c)}" for c in points[i : i + 512]) for i in range(0, len(points), 512)]
+    texts += ["".join(map(chr, rng.choice(points, 40))) + "".join(map(chr, rng.integers(9, 300, 40))) for _ in range(500)]
+    for text in texts:
+        assert fast(text) == slow.encode(text, add_special_tokens=False).ids, text[:40]
 
 
 # Toxicity.
@@ -288,6 +343,29 @@ def test_toxicity_learns(spark, odd, empty):
         assert all(0 <= r.score <= 1 for r in toxicity.score(odd, toxicity.fit(docs, none)).collect())
 
 
+def test_toxicity_defined_labels(spark):
+    """A document labelled both ways teaches nothing, a label said twice counts once, and of several texts of an id the first is learned from."""
+    docs = [(i, f"plain text number {i} " + ("vuxxit" if i % 2 else "garden")) for i in range(60)]
+    marks = [(i, i % 2) for i in range(60)]
+    fit = lambda d, m: toxicity.fit(spark.createDataFrame(d, "doc_id long, text string"), spark.createDataFrame(m, "doc_id long, toxic int"))
+    one = fit(docs, marks)
+    two = fit([(3, "zzz last in order"), *docs[::-1], *docs[:9], (99, "garden"), (98, None)], [*marks[::-1], *marks[:7], (99, 0), (99, 1)])
+    assert one.intercept == two.intercept and (one.weights == two.weights).all()
+    assert np.count_nonzero(one.weights) > 200
+    small_ = fit(docs, marks).weights
+    assert (small_ == one.weights).all()
+
+
+def test_toxicity_uses_characters(spark):
+    from sparkweft.llm.ngrams import character_sets
+
+    of, gram = character_sets(["абв", "абг", "", "ab"], (3,), 20)
+    assert [int((of == i).sum()) for i in range(4)] == [3, 3, 0, 2]  # " аб", "абв", "бв " in characters, not bytes
+    assert len(set(gram[of == 0]) & set(gram[of == 1])) == 1
+    with_two, _ = character_sets(["x" * 100], (3, 4, 5), 20)
+    assert len(with_two) == 9  # blank-x, x only, x-blank for each size
+
+
 # Languages.
 
 
@@ -308,20 +386,50 @@ def test_languages(spark, odd, empty):
     assert {r.lang_pred for r in langid.identify(odd, none).collect()} == {"und"}
 
 
-def test_profiles_are_those_of_spelled_out_vectors():
-    """Tabled inner products give the cosines of the vectors themselves, but for the norm's small error."""
-    texts = ["abc abd xyz", "hello world abc", "zzz"]
-    doc, gram, n = langid.trigrams(texts)
-    grams = np.unique(gram)
-    vector = langid.gram_vectors(grams).astype(float)
-    prototype = np.random.default_rng(0).normal(size=(2, langid.DIMENSIONS))
+def spelled_out(text):
+    """A text's vector, n-gram by n-gram."""
+    words = " ".join(re.findall(r"[^\W\d_]+", text.lower()))
+    total = np.zeros(langid.DIMENSIONS)
+    padded = f" {words} " if words else ""
+    signs = lambda c: langid.letter_vectors(np.array([0 if c == " " else ord(c)]))[0].astype(float)
+    for a, b, c in zip(padded, padded[1:], padded[2:]):
+        total += np.roll(signs(a), 2) * np.roll(signs(b), 1) * signs(c)
+    return total
+
+
+def test_scores_are_cosines_of_spelled_out_vectors(monkeypatch):
+    texts = ["abc abd xyz", "hello, world: abc abc", "zzz", "Привет мир", "日本語 テキスト", "a", "ß ẞ"]
+    prototype = np.array([spelled_out("hello world"), spelled_out("привет"), spelled_out("日本語の")])
     prototype /= np.linalg.norm(prototype, axis=1, keepdims=True)
-    prototype[0] = vector[:5].sum(axis=0) / np.linalg.norm(vector[:5].sum(axis=0))
-    model = langid.Model(["a", "b"], grams, (vector @ prototype.T / np.sqrt(langid.DIMENSIONS)).astype(np.float32))
-    _, score = langid.predicted(texts, model)
-    for i in range(3):
-        own = (vector[np.searchsorted(grams, gram[doc == i])] * n[doc == i, None]).sum(axis=0)
-        assert score[i] == pytest.approx(max(0, *(prototype @ own / np.linalg.norm(own))), abs=0.03)
+    for dense, step in ((32, 4096), (0, 3), (10**6, 5)):  # by matrices and pair by pair, in one go and in many
+        monkeypatch.setattr(langid, "DENSE", dense)
+        monkeypatch.setattr(langid, "STEP", step)
+        names, score = langid.predicted(texts, langid.Model(["a", "b", "c"], prototype))
+        for i, text in enumerate(texts):
+            own = spelled_out(text)
+            cosine = prototype @ own / np.linalg.norm(own)
+            assert names[i] == "abc"[cosine.argmax()] and score[i] == pytest.approx(min(max(cosine.max(), 0), 1), abs=1e-9)
+
+
+def test_letters_have_vectors_of_their_own():
+    points = np.array([c for c in range(0x250) if chr(c).isalpha()] + list(range(0x4E00, 0x4F00)) + list(range(0x391, 0x3C9)) + list(range(0x410, 0x450)))
+    vectors_ = langid.letter_vectors(points).astype(np.float32)
+    alike = vectors_ @ vectors_.T / langid.DIMENSIONS
+    assert set(np.unique(vectors_)) == {-1, 1} and np.abs(alike - np.eye(len(points))).max() < 0.15
+
+
+def test_many_languages_and_scripts(spark):
+    rng = np.random.default_rng(6)
+    rows = [(f"l{i:03d}", " ".join("".join(rng.choice(list(map(chr, rng.permutation(np.arange(97, 123))[:6])), 5)) for _ in range(30))) for i in range(520)]
+    scripts = {"ru": "съешь ещё этих мягких французских булок", "el": "ξεσκεπάζω την ψυχοφθόρα βδελυγμία", "zh": "天地玄黄宇宙洪荒日月盈昃辰宿列张", "ja": "いろはにほへとちりぬるを", "none": "123 !!!"}
+    docs = spark.createDataFrame(rows + list(scripts.items()), "lang string, text string")
+    model = langid.fit(docs)
+    assert len(model.languages) == 525
+    found = {r.lang: r.lang_pred for r in langid.identify(docs, model).collect()}
+    assert all(found[k] == k for k in scripts if k != "none") and found["none"] == "und"
+    assert sum(k == v for k, v in found.items()) >= 515
+    out = langid.predicted(["французские булки ещё мягких", "玄黄宇宙洪荒", "ψυχοφθόρα", "ほへと"], model)[0]
+    assert out == ["ru", "zh", "el", "ja"]
 
 
 # Media.
@@ -369,10 +477,26 @@ def test_parts():
     content = '[{"type": "text", "text": "see <|"}, {"type": "image", "ref": "a.png", "width": 28, "height": 15}, {"type": "audio", "ref": "b.wav", "seconds": 1.5}, {"type": "document", "ref": "c.pdf", "pages": 2}]'
     made, first, last, attached = chat.turn("user", chat.parts_of(content, typed=True))
     assert made == "### user: see \\<|<|image:0|><|audio:1|><|document:2|> </turn>\n" and first == last
-    assert attached == [("image", 0, "a.png", 4), ("audio", 1, "b.wav", 38), ("document", 2, "c.pdf", 1024)]
+    assert [a[:4] for a in attached] == [("image", 0, "a.png", 4), ("audio", 1, "b.wav", 38), ("document", 2, "c.pdf", 1024)]
     assert chat.parts_of("[1]", typed=True) == [chat.Text("[1]")] and chat.parts_of(None) == [chat.Text("")]
 
 
+ODD_PARTS = ['[{"type": "text", "text": null}]', '[{"type": "image", "width": null}, {"type": "audio"}]', '[{"type": "image", "width": "a"}]', '[{"type": "image", "width": true}]', '[{"type": "image", "height": -1}]', "[null]", "[[]]",
+    '[{"type": "audio", "seconds": 1e400}]', '[{"type": "audio", "seconds": NaN}]', '[{"type": "video", "ref": "x"}]', '[{"type": "text", "text": "a", "more": 1}]', "[", "[]", "", None, "[" * 5000, '[{"type": "text", "text": "<|image:0|> \\\\<|image:0|>"}, {"type": "image", "ref": "r"}, {"type": "text", "text": "</turn>"}]']
+
+
+def test_typed_content_is_reversible(spark):
+    """Every odd content gives parts, and what is formatted in Spark reads back as those parts, texts that look like placeholders included."""
+    assert chat.parts_of(ODD_PARTS[0], True) == [chat.Text("")] and chat.parts_of(ODD_PARTS[1], True) == [chat.Image(""), chat.Audio("")]
+    assert all(chat.parts_of(x, True) == [chat.Text(x)] for x in ODD_PARTS[2:12])
+    rows = spark.createDataFrame([(i, 0, "user", x) for i, x in enumerate(ODD_PARTS)], "conv_id long, turn long, role string, text string")
+    for r in chat.formatted_turns(rows, typed=True).collect():
+        body = r.formatted[r.loss_start : -len(" </turn>\n")]
+        parts = [x for x in chat.parts_of(ODD_PARTS[r.conv_id], True) if x != chat.Text("")]
+        assert chat.restored(body, [a.part for a in r.attachments]) == parts
+    assert chat.parsed(chat.turn("user", [chat.Text("<|image:0|>")])[0]) == [("user", "<|image:0|>")]
+
+
 def test_conversations(spark):
     rows = [(1, i, ("user", "assistant", None, "we: ird\n")[i % 4], t) for i, t in enumerate(HARD)] + [(None, None, "assistant", None), (None, 0, "assistant", "x"), (2, 0, "user", "a"), (2, 0, "user", "a"), (2, 0, "assistant", "b")]
     frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("formatted", F.lit(1))

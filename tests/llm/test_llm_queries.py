@@ -5,12 +5,13 @@ import os
 import re
 import zlib
 
+import numpy as np
 import pytest
 from oracle import DATA, same
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sparkweft.llm import mixing, neardup, packing, queries, secrets
+from sparkweft.llm import ann, media, mixing, neardup, packing, queries, secrets
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
 
@@ -29,17 +30,54 @@ def test_names():
 
 
 def test_nearest(spark):
-    from pyspark.sql import DataFrame
-
-    rows = queries.QUERIES["op4_nearest"](spark, DATA)
-    assert isinstance(rows, DataFrame) and rows.count() == 20 * spark.read.parquet(f"{DATA}/embeddings.parquet").where("vec_id % 20 = 0").count()
+    """Against brute force over the query's own table."""
+    table = spark.read.parquet(f"{DATA}/embeddings.parquet").orderBy("vec_id").collect()
+    ids, data = np.array([r.vec_id for r in table]), np.array([r.embedding for r in table], float)
+    rows = queries.QUERIES["op4_nearest"](spark, DATA).collect()
+    got = collections.defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r.query_id, r.rank)):
+        got[r.query_id].append(r)
+    place = {int(x): i for i, x in enumerate(ids)}
+    assert set(got) == {x for x in place if x % 20 == 0}
+    hits = 0
+    for q, found in got.items():
+        score = data @ data[place[q]]
+        assert [r.rank for r in found] == list(range(1, 21))
+        assert [r.score for r in found] == pytest.approx([score[place[r.vec_id]] for r in found], abs=1e-12)
+        assert [(-r.score, r.vec_id) for r in found] == sorted((-r.score, r.vec_id) for r in found)
+        score[place[q]] = -np.inf
+        hits += len({r.vec_id for r in found} & set(ids[np.argsort(-score)[:20]].tolist()))
+    assert hits >= 0.9 * len(rows)
+    products = ann.found(spark.read.parquet(f"{DATA}/embeddings.parquet"), F.col("vec_id") % 20 == 0).agg(F.sum("products")).first()[0]
+    assert products < len(got) * len(ids)
 
 
 def test_pack(spark):
+    """Every column, by the tokenizer itself; and the fewest sequences, or nearly."""
+    from tokenizers import Tokenizer
+
+    encode = Tokenizer.from_file(packing.default_vocabulary())
     rows = queries.QUERIES["op5_pack"](spark, DATA).collect()
-    total, sequences = sum(r.length for r in rows), len({r.sequence_id for r in rows})
-    assert sequences <= 1.01 * total / 2048 + 2
-    assert {r.doc_id for r in rows} == {r.doc_id for r in documents(spark).collect()}
+    total, sequences = sum(r.length for r in rows), collections.defaultdict(list)
+    pieces = collections.defaultdict(dict)
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, r.length))
+        pieces[r.doc_id][r.piece] = r
+    assert len(sequences) <= 1.01 * total / 2048 + 2
+    for found in sequences.values():
+        ends = np.cumsum([n for _, n in sorted(found)])
+        assert [o for o, _ in sorted(found)] == [0, *ends[:-1]] and ends[-1] <= 2048
+    docs = documents(spark).collect()
+    assert set(pieces) == {r.doc_id for r in docs}
+    for r in docs:
+        ids, at = np.array([*encode.encode(r.text or "", add_special_tokens=False).ids, 0], "<u4"), 0
+        own = pieces[r.doc_id]
+        assert sorted(own) == list(range(-(-len(ids) // 2048)))
+        for n in sorted(own):
+            p = own[n]
+            assert p.start == at and p.ids_crc32 == zlib.crc32(ids[at : at + p.length].tobytes()) and (n == 0 or p.length == 2048)
+            at += p.length
+        assert at == len(ids)
 
 
 def test_held_out(spark):
@@ -52,9 +90,33 @@ def test_held_out(spark):
     assert sum(held) >= 0.95 * len(held)
 
 
+@pytest.mark.skipif(not os.path.isdir(f"{os.path.dirname(DATA)}/sf0.1"), reason="no larger tables")
+def test_toxicity_held_out(spark):
+    """Accuracy and recall on rows never learned from, where there are enough labels; some labels of these tables say toxic of texts with no word that others share."""
+    larger = f"{os.path.dirname(DATA)}/sf0.1"
+    rows = queries.QUERIES["op6_toxicity"](spark, larger).where("held_out")
+    both = rows.join(spark.read.parquet(f"{larger}/labels.parquet").where("toxic is not null"), "doc_id").select("toxic", "predicted", "score").collect()
+    caught = sum(r.predicted for r in both if r.toxic == 1)
+    assert sum(r.toxic == r.predicted for r in both) >= 0.96 * len(both)
+    assert caught >= 0.7 * sum(r.toxic for r in both)
+    assert sum(r.predicted for r in both if r.toxic == 0) <= 0.01 * len(both)
+    assert all(r.predicted == (r.score >= 0.5) for r in both)
+
+
 def test_media(spark):
+    """Every column from the text alone; what is stored decodes to it by a decoder that is not the writer's."""
+    import hashlib
+
     rows = {r.doc_id: r for r in queries.QUERIES["op8_media"](spark, DATA).collect()}
-    assert all(rows[r.doc_id].n_bytes == len(r.text.encode()) for r in documents(spark).collect())
+    docs = documents(spark).collect()
+    assert set(rows) == {r.doc_id for r in docs}
+    for r in docs:
+        raw, got = (r.text or "").encode(), rows[r.doc_id]
+        body = raw + bytes(-len(raw) % 64 if raw else 64)
+        image = media.image(body)
+        assert (got.n_bytes, got.payload_bytes, got.payload_sha256, got.tail_crc32) == (len(raw), len(body), hashlib.sha256(body).hexdigest(), zlib.crc32(body[-64:]))
+        assert (got.media_bytes, got.media_sha256, got.feature) == (len(image), hashlib.sha256(image).hexdigest(), media.feature(body))
+        assert (got.width, got.height) == (64, len(body) // 64)
 
 
 def test_near_duplicates(spark):
