@@ -14,6 +14,8 @@ EDGE = r'(?dU)^"([^"]+)"\s*->\s*"([^"]+)"\s*\[.*label="([^"]+)".*\];'
 EDGE_ATTRIBUTES = r'(?dU)^"([^"]+)"\s*->\s*"([^"]+)"\s*\[(.*?)\];'
 #: A node block: from a line that opens one to the first line that ends in `"];`, or to the end of the document.
 NODE = r'(?dmU)^[^\S\n]*"([^"\n]+)"[^\S\n]*\[[\s\S]*?(?:"\];[^\S\n]*$|\z)'
+#: The id of a node block.
+NODE_ID = r'(?dU)^[^\S\n]*"([^"\n]+)"'
 #: The attributes of a node, up to the first `];`.
 NODE_ATTRIBUTES = r'(?sU)"[^"]+"\s*\[(.*?)\];'
 PAIR = r'(?U)(\w+)=(?:"([^"]*(?:\\.[^"]*)*)"|([^\s]+))'

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.samples import good_bad
+from ..tables import written
 
 
 def dataset_type(columns: Sequence[str]) -> str:
@@ -75,7 +76,7 @@ def ranked(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """
     keys = [*order, F.xxhash64(*[F.col(c) for c in df.columns])]
     ranges = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_range", F.spark_partition_id()).withColumn("_id", F.monotonically_increasing_id())
-    ranges = ranges.withColumn("_in", F.col("_id") - F.shiftleft(F.col("_range").cast("long"), 33)).drop("_id").persist()  # both uses see one set of ranges
+    ranges = written(ranges.withColumn("_in", F.col("_id") - F.shiftleft(F.col("_range").cast("long"), 33)).drop("_id"), "ranges")  # both uses see one set of ranges, whatever executors are lost
     sizes = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("n"))
     before = sizes.select("_range", F.coalesce(F.sum("n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))  # a row a range
     return ranges.join(F.broadcast(before), "_range").withColumn(name, F.col("_before") + F.col("_in")).drop("_range", "_in", "_before")
@@ -87,7 +88,7 @@ def first_samples(samples: DataFrame, splits: Sequence[str], most: int | None, o
     chosen = samples.where(F.col("split").isin(list(splits)))
     if not most:
         return chosen
-    return chosen.orderBy(place, *order).limit(most)
+    return ranked(chosen, [place, *map(F.col, order)], "_place").where(F.col("_place") < most).drop("_place")
 
 
 def first_of_id(samples: DataFrame, order: Sequence[Column]) -> DataFrame:

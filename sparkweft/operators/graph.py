@@ -12,8 +12,7 @@ from ..tables import written
 from . import parse
 
 TYPES = ("CALL", "CFG")
-#: Graphs up to so many edges are closed by an expression, up to the second number by a scan of one row, beyond it by joins.
-FOLD_EDGES = 48
+#: Graphs up to so many edges are closed by a scan of one row, beyond it by joins.
 ROW_EDGES = 200_000
 
 
@@ -22,14 +21,17 @@ def endpoints(found: DataFrame) -> DataFrame:
     return found.select("graph_id", F.explode(F.array("src", "dst")).alias("node_id")).distinct()
 
 
-def subgraph(documents: DataFrame, types: Sequence[str] = TYPES, exact: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+def subgraph(documents: DataFrame, types: Sequence[str] = TYPES, exact: bool = False, keep: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Edges of the types, the definitions of their endpoints, and the endpoints without one.
 
-    exact reads definitions as a scan that does not skip the blocks of other nodes.
+    exact reads definitions as a scan that does not skip the blocks of other nodes. keep writes edges and definitions
+    to the shared folder, so that each text is parsed once however often they are used.
     """
-    kept = parse.edges(documents, types)
+    once = written if keep else lambda df, _: df
+    kept = once(parse.edges(documents, types), "parsed-edges")
     ends = endpoints(kept)
     found = parse.target_nodes(documents, ends) if exact else parse.nodes(documents).join(ends, ["graph_id", "node_id"], "left_semi")
+    found = once(found, "parsed-nodes")
     missing = ends.join(found, ["graph_id", "node_id"], "left_anti")
     return kept, found, missing
 
@@ -115,14 +117,18 @@ def user_methods(documents: DataFrame, strict_names: bool = False) -> DataFrame:
     return parse.method_nodes(parse.nodes(documents), strict_names).where("user_method").select("graph_id", "node_id")
 
 
-def user_subgraph(documents: DataFrame, strategy: str = "auto", strict_names: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+def user_subgraph(documents: DataFrame, strategy: str = "auto", strict_names: bool = False, tables: tuple[DataFrame, DataFrame] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """User-defined methods and all that control flow reaches from them: definitions, edges, and what is kept without a definition.
 
     Kept are control-flow edges between kept nodes, and calls from kept nodes to user-defined methods.
+    tables: the documents' edges and last definitions with the attributes of methods, where they are parsed already.
     """
     # Each text is parsed once; what follows reads tables.
-    every = written(parse.edges(documents, ["CFG", "CALL"]), "parsed-edges")
-    found = written(parse.method_nodes(parse.nodes(documents), strict_names).select("graph_id", "ord", "node_id", "raw", "user_method"), "parsed-nodes")
+    if tables is None:
+        every = written(parse.edges(documents, ["CFG", "CALL"]), "parsed-edges")
+        found = written(parse.method_nodes(parse.nodes(documents), strict_names).select("graph_id", "ord", "node_id", "raw", "user_method"), "parsed-nodes")
+    else:
+        every, found = tables[0], tables[1].select("graph_id", "ord", "node_id", "raw", "user_method")
     flow, calls = every.where("etype = 'CFG'"), every.where("etype = 'CALL'")
     methods = found.where("user_method").select("graph_id", "node_id")
     kept = written(reachable(methods, flow, strategy), "reachable")

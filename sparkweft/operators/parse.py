@@ -28,9 +28,8 @@ def edges(documents: DataFrame, types: Sequence[str] | None = None) -> DataFrame
 
 def nodes(documents: DataFrame) -> DataFrame:
     """All node blocks, repeated ids included; nothing inside a block opens another."""
-    text = lines_of(F.col("dot"))
-    blocks = F.arrays_zip(F.regexp_extract_all(text, F.lit(D.NODE), F.lit(1)).alias("id"), F.regexp_extract_all(text, F.lit(D.NODE), F.lit(0)).alias("raw"))
-    return documents.select("graph_id", F.posexplode(blocks).alias("ord", "b")).select("graph_id", "ord", F.col("b.id").alias("node_id"), F.col("b.raw").alias("raw"))
+    blocks = F.regexp_extract_all(lines_of(F.col("dot")), F.lit(D.NODE), F.lit(0))
+    return documents.select("graph_id", F.posexplode(blocks).alias("ord", "raw")).select("graph_id", "ord", F.regexp_extract("raw", D.NODE_ID, 1).alias("node_id"), "raw")
 
 
 def last_definitions(found: DataFrame) -> DataFrame:

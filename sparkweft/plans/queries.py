@@ -38,7 +38,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def subgraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    edges, nodes, _ = graph.subgraph(docs)
+    edges, nodes, _ = graph.subgraph(docs, keep=True)
     return written(render.subgraph_text(docs, edges, nodes), "order-subgraphs")
 
 
@@ -214,7 +214,7 @@ def _faulty(docs: DataFrame) -> DataFrame:
 
 def _pair(spark, sf_dir):
     docs = documents(spark, sf_dir)
-    edges, nodes, _ = graph.subgraph(docs)
+    edges, nodes, _ = graph.subgraph(docs, keep=True)
     return docs, written(_faulty(render.subgraph_text(docs, edges, nodes)), "order-subgraphs")
 
 
@@ -284,10 +284,11 @@ def verify_overall(spark, sf_dir):
 def verify_clean(spark, sf_dir):
     """Documents as the engine makes them pass all checks of both kinds."""
     docs = documents(spark, sf_dir)
-    sub = written(render.subgraph_text(docs, *graph.subgraph(docs)[:2]), "order-subgraphs")
-    nodes, edges, _ = graph.user_subgraph(sub)
+    sub = written(render.subgraph_text(docs, *graph.subgraph(docs, keep=True)[:2]), "order-subgraphs")
+    between = verify.parsed(sub, True)
+    nodes, edges, _ = graph.user_subgraph(sub, tables=(between.edges, between.nodes))
     filtered = written(render.user_subgraph_text(sub, edges, nodes), "order-filtered")
-    return verify.overall(verify.verify_subgraph(docs, sub).unionByName(verify.verify_user_subgraph(sub, filtered)))
+    return verify.overall(verify.verify_subgraph(docs, between).unionByName(verify.verify_user_subgraph(between, filtered)))
 
 
 # Schema profile. A file is an order; its node types are METHOD and CALL.
@@ -356,7 +357,41 @@ def presence_matrix(spark, sf_dir):
     return profile.presence_matrix(profile.file_profile(keys), ["F", "O", "P"])
 
 
-@query()
+def _list_sql(what: str, when: str = "true") -> str:
+    """A JSON list of distinct texts, sorted, as an aggregate."""
+    return f"""'[' || coalesce(string_agg(DISTINCT '"' || {what} || '"', ',' ORDER BY '"' || {what} || '"') FILTER ({when}), '') || ']'"""
+
+
+def _view_sql(of: str, suffix: str) -> str:
+    """The JSON object of a type's keys over its files."""
+    keys = f"(SELECT k, count(*) = any_value(nf) AS whole FROM {of} JOIN tf USING (t) WHERE t = x.t GROUP BY k)"
+    part = lambda name, when: f"""'"{name}{suffix}":' || (SELECT {_list_sql("k", when)} FROM {keys})"""
+    return "'{' || " + part("intersection", "whole") + " || ',' || " + part("non_intersection", "NOT whole") + " || ',' || " + part("union", "true") + " || '}'"
+
+
+def _cross_sql(of: str, suffix: str) -> str:
+    """The JSON object of keys over types, without its end."""
+    keys = f"(SELECT k, count(DISTINCT t) = (SELECT count(*) FROM tf) AS whole FROM {of} GROUP BY k)"
+    part = lambda name, when: f"""'"{name}_across_types{suffix}":' || (SELECT {_list_sql("k", when)} FROM {keys})"""
+    return "'{' || " + part("intersection", "whole") + " || ',' || " + part("union", "true") + " || ',' || " + part("non_intersection", "NOT whole")
+
+
+_HEAD = f"""'{{"generated_at_utc":"","root":"orders","pattern":"{profile.PATTERN}",' || """
+_REPORT = (
+    _P + ", strict AS (SELECT t, k FROM allk JOIN tf USING (t) GROUP BY t, k HAVING count(*) = any_value(nf)), fl AS (SELECT DISTINCT f FROM per), total AS (SELECT count(*) AS n FROM fl)"
+    + ", lists AS (SELECT t, " + _list_sql("f") + " AS fs, any_value(nf) = (SELECT n FROM total) AS whole FROM per JOIN tf USING (t) GROUP BY t)"
+    + ", cells AS (SELECT t, string_agg('\"' || fl.f || '\":' || CASE WHEN per.f IS NULL THEN 0 ELSE 1 END, ',' ORDER BY fl.f) AS cs FROM (SELECT t, f FROM tf, fl) fl LEFT JOIN per USING (t, f) GROUP BY t)"
+    + ", sets AS (SELECT f, t, " + _list_sql("k") + " AS a, " + _list_sql("k", "w") + " AS l FROM (SELECT a.f, a.t, a.k, l.k IS NOT NULL AS w FROM anyk a LEFT JOIN allk l USING (f, t, k)) GROUP BY f, t)"
+    + ", byf AS (SELECT t, string_agg('\"' || f || '\":{\"any\":' || a || ',\"all\":' || l || '}', ',' ORDER BY f) AS bs FROM sets GROUP BY t)"
+    + " SELECT 'node_types' AS name, " + _HEAD + "'\"files\":' || (SELECT " + _list_sql("f") + " FROM fl) || ',\"intersectional_types\":' || (SELECT " + _list_sql("t", "whole") + " FROM lists)"
+    + " || ',\"non_intersectional_types\":[' || coalesce((SELECT string_agg('{\"type\":\"' || t || '\",\"present_in\":' || fs || '}', ',' ORDER BY t) FROM lists WHERE NOT whole), '') || '],\"presence_matrix\":{' || (SELECT string_agg('\"' || t || '\":{' || cs || '}', ',' ORDER BY t) FROM cells) || '}}' AS value"
+    + " UNION ALL SELECT 'properties_by_type', " + _HEAD + "'\"types\":{' || (SELECT string_agg('\"' || x.t || '\":{\"files_present_in\":' || x.fs || ',\"lenient\":' || " + _view_sql("anyk", "") + " || ',\"strict\":' || " + _view_sql("allk", "_all_nodes") + " || ',\"by_file\":{' || bs || '}}', ',' ORDER BY x.t) FROM lists x JOIN byf USING (t)) || '}}'"
+    + " UNION ALL SELECT 'properties_cross_types', " + _HEAD + "'\"lenient\":' || " + _cross_sql("anyk", "") + " || ',\"coverage\":{' || (SELECT string_agg('\"' || k || '\":' || ts, ',' ORDER BY k) FROM (SELECT k, " + _list_sql("t") + " AS ts FROM anyk GROUP BY k)) || '}},\"strict\":' || " + _cross_sql("strict", "_all_nodes") + " || '}}'"
+    + " UNION ALL SELECT 'properties_global', " + _HEAD + "'\"global_property_union\":' || (SELECT " + _list_sql("k") + " FROM anyk) || '}'"
+)
+
+
+@query(_REPORT)
 def schema_report(spark, sf_dir):
     """The four report documents."""
     made = profile.documents(_profile(spark, sf_dir), "orders")
@@ -514,7 +549,10 @@ def manifest_wide(spark, sf_dir):
     return manifest.manifest(_results(spark, sf_dir))
 
 
-@query()
+@query(
+    _B + "SELECT idx || '_' || hash AS sample_id, to_json({'dataset_info': {'dataset_name': 'd', 'split': split, 'index': idx, 'sample_id': idx || '_' || hash, 'dataset_type': 'secvaleval'}, 'vulnerability_info': {'is_vulnerable': vul, 'cve_list': []::VARCHAR[], 'cwe_list': cwe}, 'processing_info': {'timestamp': '2024-01-01T00:00:00.000000', 'pipeline_version': '1.2'}, 'sample_data': {'func_name': 'unknown', 'filepath': '', 'hash': hash, 'project': project, 'commit_id': '', 'commit_message': '', 'changed_lines': '', 'changed_statements': '', 'fixed_func_idx': '', 'context': '', 'code_field': 'func_body'}, 'complete_sample': {'idx': idx, 'split': split, 'func_body': body, 'program_path': path, 'hash': hash, 'project': project, 'cwe_list': cwe, 'is_vulnerable': vul, 'dataset_name': 'd', 'dataset_type': 'secvaleval', 'func_name': 'unknown', 'sample_id': idx || '_' || hash}})::VARCHAR AS metadata FROM b",
+    False,
+)
 def metadata_json(spark, sf_dir):
     rows = datasets.normalised(_bodies(spark, sf_dir).drop("testcases_name"), "d")
     return manifest.metadata(rows, "secvaleval", F.lit("2024-01-01 00:00:00").cast("timestamp"))
@@ -548,7 +586,7 @@ def html_edge_label(spark, sf_dir):
     """Labels of edges made of events: a label and three more attributes, of which two are shown."""
     rows = spark.read.parquet(f"{sf_dir}/events.parquet")
     pair = lambda k, v: F.struct(F.lit(k).alias("k"), v.cast("string").alias("v"))
-    made = F.array(pair("user", F.col("user_id")), pair("Label", F.lit("x")), pair("kind", F.substring("props", 2, 1000)), pair("label", F.replace("event_type", F.lit("_"), F.lit("|"))), pair("value", F.col("value")))
+    made = F.array(pair("user", F.col("user_id")), pair("Label", F.lit("x")), pair("kind", F.expr("substring(props, 2)")), pair("label", F.replace("event_type", F.lit("_"), F.lit("|"))), pair("value", F.col("value")))
     return rows.select("event_id", F.replace(F.replace(F.replace(render.edge_label(made), F.lit('\\"'), F.lit('"')), F.lit("\\{"), F.lit("{")), F.lit("\\}"), F.lit("}")).alias("label"))
 
 
@@ -572,7 +610,21 @@ def html_escape(spark, sf_dir):
     return rows.select("page_id", F.md5(html_escaped(F.col("html"))).alias("escaped"))
 
 
-@query()
+def _html_document_sql() -> str:
+    """Node and edge lines in the order of the text: the method, calls by line, suppliers by their first line; flow, back, calls, tree, each by line."""
+    label = ORACLES["html_label"].removeprefix(G)
+    edge = lambda n, a, b, kind, when="true": f"SELECT g, {n} AS part, r, '\n  \"' || {a} || '\" -> \"' || {b} || '\" [label=\"{kind}\"];' AS line FROM li WHERE {when}"
+    call = "'C' || g || '_' || r"
+    parts = [edge(0, f"CASE WHEN r = 1 THEN 'M' || g ELSE 'C' || g || '_' || (r - 1) END", call, "CFG"), edge(1, call, "'C' || g || '_1'", "CFG", "back"), edge(2, call, "'S' || s", "CALL"), edge(3, "'M' || g", call, "AST")]
+    place = "CASE WHEN node_id LIKE 'M%' THEN 0 WHEN node_id LIKE 'C%' THEN 1 ELSE 2 END, CASE WHEN node_id LIKE 'C%' THEN split_part(node_id, '_', 2)::INT WHEN node_id LIKE 'S%' THEN (SELECT min(r) FROM li WHERE li.g = graph_id AND 'S' || li.s = node_id) ELSE 0 END"
+    return (
+        f", labels AS ({label}), lines AS (SELECT graph_id, {place.replace(', CASE', ' AS p1, CASE', 1)} AS p2, '\n  \"' || node_id || '\" [label=' || label || ', fillcolor=\"' || color || '\", style=\"filled\"];' AS line FROM labels)"
+        f", blocks AS (SELECT graph_id, string_agg(line, '' ORDER BY p1, p2) AS t FROM lines GROUP BY graph_id), ends AS (SELECT g, string_agg(line, '' ORDER BY part, r) AS t FROM ({' UNION ALL '.join(parts)}) GROUP BY g)"
+        " SELECT blocks.graph_id, 'digraph html_orders {\n  rankdir=LR;\n  node [shape=plain];\n  edge [fontname=\"Arial\", fontsize=9];\n' || blocks.t || '\n' || coalesce(ends.t, '') || '\n}' AS dot FROM blocks LEFT JOIN ends ON ends.g = blocks.graph_id"
+    ).replace("\n", "' || chr(10) || '")
+
+
+@query(_html_document_sql())
 def html_document(spark, sf_dir):
     """Whole documents with HTML-table labels."""
     return render.html_text(documents(spark, sf_dir), "orders")

@@ -36,8 +36,16 @@ class ArrowStream(DataSource):
         system, files = _files(self.options["path"])
         if not files:
             return StructType()
-        with system.open_input_stream(files[0]) as f:
-            out = from_arrow_schema(pa.ipc.open_stream(f).schema)
+        out, skip_bad = StructType(), self.options.get("skip_bad", "true").lower() == "true"
+        for file in files:  # of the first that can be read
+            try:
+                with system.open_input_stream(file) as f:
+                    out = from_arrow_schema(pa.ipc.open_stream(f).schema)
+                break
+            except (OSError, pa.ArrowException):
+                if not skip_bad:
+                    raise
+                log.exception("%s: no schema", file)
         return out.add("file", StringType()).add("row_index", LongType())
 
     def reader(self, schema: StructType) -> DataSourceReader:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own_folder: dict[str, str] = {}
+_made: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -24,13 +27,35 @@ def shared_dir(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_folder:
-        _own_folder[app] = "file://" + tempfile.mkdtemp(prefix="sparkweft-")
+        folder = tempfile.mkdtemp(prefix="sparkweft-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _own_folder[app] = "file://" + folder
     return _own_folder[app]
 
 
 def fresh_dir(spark: SparkSession, what: str) -> str:
     """A path of the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def mark(spark: SparkSession) -> int:
+    """How many paths the application has made in the shared folder so far."""
+    return len(_made.get(spark.sparkContext.applicationId, []))
+
+
+def release(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
+    """Removes what the application made in the shared folder since a mark, but for the last keep paths.
+
+    Frames that still read a removed table fail, so this is for the caller who knows that results are written.
+    """
+    paths = _made.get(spark.sparkContext.applicationId, [])
+    gone = paths[since : len(paths) - keep]
+    for path in gone:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    paths[since : len(paths) - keep] = []
 
 
 def written(df: DataFrame, what: str) -> DataFrame:
