@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from sparkweft.llm import langid, mixing, neardup, packing, secrets
 from sparkweft.llm.shared import free_prefix, own, written
+from sparkweft.tables import mark, release
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,8 +55,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over documents. What a stage wrote on its way is removed as soon as its result stands; of results, the last is kept."""
+    docs, since = spark.read.parquet(f"{sf_dir}/documents.parquet"), mark(spark)
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        release(spark, since, keep=1)
     return docs
