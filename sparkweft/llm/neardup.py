@@ -15,11 +15,14 @@ Short lists (up to SHORT) give their pairs, of which those that collide COLLISIO
 gives none of its pairs, but pairs each member with a few pivots, chosen alike in many lists, so a group of
 many near copies costs its size times a constant. Pairs whose signatures agree in MATCHES coordinates are
 confirmed on the full sets, and confirmed links give components. Pairs inside a component need no more
-work. What long lists may still hide are links between members of different components: in each long list
-the members outside its largest component, the strays, are compared in blocks with the
-members of other components, agreeing pairs on their full sets at once, and one link for each stray and
-component is returned. So no pair with a common prefix token is left out, whatever the length of the list; no
-rows are made for pairs. The comparing grows with a list's length times its strays.
+work. What long lists may still hide are links between members of different components. The members of such lists are posted
+once more, now under shingles: two sets that are similar enough have one of their rarest shingles in common, if each is
+posted under one more than it may lack of the other. Text that very many documents share is not among the rarest of
+any that differ enough, so these lists are short, and their pairs across components are compared by signatures first and by full sets at last.
+Only lists of sets that differ in little more than what they may lack stay long. In each of these the members outside its largest component,
+the strays, are compared in blocks with the members of other components, agreeing pairs on their full sets at once, and one
+link for each stray and component is returned. So no pair is left out, whatever the length of the list; no
+rows are made for pairs of long lists.
 
 Sets hold 64-bit hashes of shingles; a class is known by a 128-bit digest of its set.
 
@@ -50,6 +53,8 @@ COLLISIONS = 3
 SHORT = 32
 PIVOTS = 2
 BLOCK = 1024
+#: Buckets by which shingles are counted where long lists are taken apart.
+BUCKET_BITS = 18
 #: Hashes of words that a task remembers.
 REMEMBERED = 300_000
 
@@ -154,11 +159,44 @@ def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return whole.flatten().to_numpy(), np.concatenate([[0], np.cumsum(whole.value_lengths().to_numpy())])
 
 
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many sets of a task's rows have a shingle, by buckets of shingles."""
+    counts = np.zeros(1 << BUCKET_BITS, np.int64)
+    for batch in batches:
+        counts += np.bincount(batch.column("found").flatten().to_numpy().view(np.uint64) >> np.uint64(64 - BUCKET_BITS), minlength=1 << BUCKET_BITS)
+    at = np.flatnonzero(counts)
+    yield pa.record_batch([pa.array(at), pa.array(counts[at])], names=["bucket", "n"])
+
+
+def _rarest(counts: np.ndarray, percent: int):
+    """Rows (token, rep): each set's rarest shingles, as many as one more than a set may lack of another that is similar enough.
+
+    Sets with a similarity of at least percent have one of these in common, whatever the order is, if it is one order for all: here by
+    the counts of buckets, then by hash.
+    """
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens, reps = [], []
+            for rep, found in zip(batch.column("id").to_pylist(), batch.column("found"), strict=True):
+                own = found.values.to_numpy()
+                take = len(own) - -(-percent * len(own) // 100) + 1
+                tokens.append(own[np.lexsort((own, counts[own.view(np.uint64) >> np.uint64(64 - BUCKET_BITS)]))[:take]])
+                reps.append(np.full(len(tokens[-1]), rep))
+                if sum(map(len, reps)) > 1 << 18:
+                    yield pa.record_batch([pa.array(np.concatenate(tokens)), pa.array(np.concatenate(reps))], names=["token", "rep"])
+                    tokens, reps = [], []
+            if reps:
+                yield pa.record_batch([pa.array(np.concatenate(tokens)), pa.array(np.concatenate(reps))], names=["token", "rep"])
+
+    return go
+
+
 def _across(percent: int):
     def go(group: pa.Table) -> pa.Table:
         """Of a block of members and one of strays of a list, links between components: for each stray, one to each component it is linked with.
 
-        A pair belongs to the list of the first token that both have in their prefixes, and is looked at there alone.
+        A pair belongs to the list of the first token that both have among their long lists, and is looked at there alone.
         """
         token = group.column("token")[0].as_py()
         stray = group.column("stray").to_numpy().astype(bool)
@@ -168,31 +206,21 @@ def _across(percent: int):
         found = found.view(np.uint64)  # in this order sets are sorted
         size = np.diff(start)
         flat, first = _lists(group.column("tokens"))
-        width = np.diff(first)
-        tokens = np.full((len(rep), max(width.max(), 1)), -1, np.int64)
-        tokens[np.repeat(np.arange(len(rep)), width), np.arange(len(flat)) - np.repeat(first[:-1], width)] = flat
         out: list[tuple[int, int]] = []
         members = np.flatnonzero(~stray)
         for i in np.flatnonzero(stray):
             agree = (values[members] == values[i]).sum(axis=1)
             near = (agree >= MATCHES) & (component[members] != component[i])
             near &= 100 * np.minimum(size[members], size[i]) >= percent * np.maximum(size[members], size[i])
-            hit = members[near][np.argsort(-agree[near], kind="stable")]
-            if len(hit):
-                common = np.isin(tokens[hit], flat[first[i] : first[i + 1]])
-                hit = hit[tokens[hit, common.argmax(axis=1)] == token]
-            own, done = found[start[i] : start[i + 1]], set()
-            for k in range(0, len(hit), 128):
-                part = [j for j in hit[k : k + 128] if component[j] not in done]
-                if not part:
+            own, done, lists = found[start[i] : start[i + 1]], set(), set(flat[first[i] : first[i + 1]].tolist())
+            for j in members[near][np.argsort(-agree[near], kind="stable")]:
+                if component[j] in done or next(x for x in flat[first[j] : first[j + 1]].tolist() if x in lists) != token:
                     continue
-                every = np.concatenate([found[start[j] : start[j + 1]] for j in part])
-                same = own[np.minimum(np.searchsorted(own, every), len(own) - 1)] == every
-                both = np.add.reduceat(same, np.concatenate([[0], np.cumsum(size[part])[:-1]]), dtype=np.int64)
-                for j, n in zip(part, both.tolist(), strict=True):
-                    if n * 100 >= (len(own) + size[j] - n) * percent and component[j] not in done:
-                        done.add(component[j])
-                        out.append((min(rep[i], rep[j]), max(rep[i], rep[j])))
+                other = found[start[j] : start[j + 1]]
+                n = int((own[np.minimum(np.searchsorted(own, other), len(own) - 1)] == other).sum())
+                if n * 100 >= (len(own) + len(other) - n) * percent:
+                    done.add(component[j])
+                    out.append((min(rep[i], rep[j]), max(rep[i], rep[j])))
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([x for _, x in out], pa.int64())})
 
     return go
@@ -207,10 +235,11 @@ def _prefixes(classes: DataFrame) -> DataFrame:
     return own.select("rep", F.explode(F.slice("tokens", F.lit(1), take)).alias("t")).select("t.token", "t.many", "rep")
 
 
-def _short_pairs(posts: DataFrame) -> DataFrame:
+def _short_pairs(posts: DataFrame, collisions: int) -> DataFrame:
+    """Pairs that collide so often on short lists."""
     lists = posts.where(F.col("many") <= SHORT).groupBy("token").agg(F.sort_array(F.collect_list("rep")).alias("reps")).where(F.size("reps") > 1)  # at most SHORT to a list
     pairs = F.flatten(F.transform("reps", lambda b, i: F.transform(F.slice(F.col("reps"), F.lit(1), i), lambda a: F.struct(a.alias("a"), b.alias("b")))))
-    return lists.select(F.explode(pairs).alias("p")).groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= COLLISIONS).select("a", "b")
+    return lists.select(F.explode(pairs).alias("p")).groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= collisions).select("a", "b")
 
 
 def _pivot_pairs(posts: DataFrame) -> DataFrame:
@@ -223,24 +252,50 @@ def _pivot_pairs(posts: DataFrame) -> DataFrame:
     return near.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
 
 
-def _stray_links(hot: DataFrame, docs: DataFrame, classes: DataFrame, found: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links of long lists across components, confirmed on the full sets."""
-    named = hot.join(found, F.col("rep") == F.col("node"), "left").select("token", "many", "rep", F.coalesce("component", "rep").alias("component"))
+def _mixed(posts: DataFrame, found: DataFrame) -> DataFrame:
+    """(token, many, rep, component, main, all, most) of the lists that hold more than one component; main is the largest, which has most of all members."""
+    named = posts.join(found, F.col("rep") == F.col("node"), "left").select("token", "many", "rep", F.coalesce("component", "rep").alias("component"))
     parts = named.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n"))
     lists = parts.groupBy(F.col("token").alias("_token")).agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("all")).where("all > most")
-    lists = lists.select("_token", "main", F.ceil(F.col("all") / BLOCK).alias("blocks"), F.ceil((F.col("all") - F.col("most")) / BLOCK).alias("stray_blocks"))
     lists = small(written(lists, "dedup-lists"), 48)
-    rows = written(named.join(lists, F.col("token") == F.col("_token")).drop("_token"), "dedup-mixed")
+    return named.join(lists, F.col("token") == F.col("_token")).drop("_token")
+
+
+def _stray_links(hot: DataFrame, docs: DataFrame, classes: DataFrame, found: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links of long lists across components, confirmed on the full sets."""
+    sets = _sets_of(_mixed(hot, found).select(F.col("rep").alias("_id")).distinct(), docs, classes, words)
+    # One number a bucket, whatever the number of documents.
+    counts = np.zeros(1 << BUCKET_BITS, np.int64)
+    for r in sets.mapInArrow(_buckets, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toLocalIterator():
+        counts[r["bucket"]] = r["n"]
+    posts = written(sets.mapInArrow(_rarest(counts, percent), "token long, rep long"), "dedup-rarest")
+    shared = posts.groupBy(F.col("token").alias("_token")).agg(F.count(F.lit(1)).alias("many")).where("many > 1")
+    posts = written(posts.join(shared, F.col("token") == F.col("_token")).select("token", "many", "rep"), "dedup-rarest")
+    of = [found.select(F.col("node").alias(f"_n{x}"), F.col("component").alias(f"c{x}")) for x in "ab"]
+    pairs = _short_pairs(posts, 1).join(of[0], F.col("a") == F.col("_na"), "left").join(of[1], F.col("b") == F.col("_nb"), "left")
+    pairs = pairs.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+    links = _confirmed(_agreeing_pairs(pairs, classes), sets, percent)
+    rows = _mixed(posts.where(F.col("many") > SHORT), found)
+    rows = rows.select("token", "many", "rep", "component", "main", F.ceil(F.col("all") / BLOCK).alias("blocks"), F.ceil((F.col("all") - F.col("most")) / BLOCK).alias("stray_blocks"))
+    rows = written(rows, "dedup-mixed")
+    if rows.isEmpty():
+        return links
     draw = F.abs(F.xxhash64("rep") % 1_000_003)
     members = rows.select("token", (draw % F.col("blocks")).alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("stray_blocks") - 1)).alias("stray_block"), "rep", "component", F.lit(False).alias("stray"))
     strays = rows.where("component <> main").select("token", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), (draw % F.col("stray_blocks")).alias("stray_block"), "rep", "component", F.lit(True).alias("stray"))
-    # What a class brings to each of its lists: signature, set, and its long lists in the order of prefixes (at most COORDINATES).
+    # What a class brings to each of its lists: signature, set, and its long lists in one order.
     own = rows.groupBy(F.col("rep").alias("_rep")).agg(F.sort_array(F.collect_list(F.struct("many", "token"))).alias("t"))
-    own = own.select("_rep", F.transform("t", lambda x: x["token"]).alias("tokens"))
-    own = own.join(_sets_of(own.select(F.col("_rep").alias("_id")), docs, classes, words), F.col("_rep") == F.col("id")).drop("id")
+    own = own.select("_rep", F.transform("t", lambda x: x["token"]).alias("tokens")).join(sets, F.col("_rep") == F.col("id")).drop("id")
     own = own.join(classes.select(F.col("rep").alias("_r"), "signature"), F.col("_rep") == F.col("_r")).drop("_r")
     signed = members.union(strays).join(own, F.col("rep") == F.col("_rep")).drop("_rep")
-    return signed.groupBy("token", "block", "stray_block").applyInArrow(_across(percent), "a long, b long").distinct()
+    return links.union(signed.groupBy("token", "block", "stray_block").applyInArrow(_across(percent), "a long, b long").distinct())
+
+
+def _agreeing_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs whose signatures agree in MATCHES coordinates."""
+    signed = [classes.select(F.col("rep").alias(f"_{x}"), F.col("signature").alias(f"s{x}")) for x in "ab"]
+    pairs = pairs.join(signed[0], F.col("a") == F.col("_a")).join(signed[1], F.col("b") == F.col("_b"))
+    return written(pairs.select("a", "b", "sa", "sb").mapInArrow(_agreeing, "a long, b long"), "dedup-pairs")
 
 
 def _sets_of(ids: DataFrame, docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
@@ -252,9 +307,8 @@ def _sets_of(ids: DataFrame, docs: DataFrame, classes: DataFrame, words: int) ->
     return written(sets, "dedup-sets")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar enough. Sets are made of the documents in some pair only."""
-    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct(), docs, classes, words)
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets are similar enough."""
     left, right = (sets.select(F.col("id").alias(f"_{x}"), F.col("found").alias(f"set_{x}")) for x in "ab")
     both = pairs.join(right, F.col("b") == F.col("_b")).join(left, F.col("a") == F.col("_a"))
     common = F.size(F.array_intersect("set_a", "set_b"))
@@ -269,11 +323,9 @@ def near_duplicates(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
     whole = rows.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("signature", ignorenulls=True).alias("signature"))
     classes = written(whole.where("signature is not null and rep is not null"), "dedup-classes")
     posts = written(_prefixes(classes), "dedup-posts")
-    signed = [classes.select(F.col("rep").alias(f"_{x}"), F.col("signature").alias(f"s{x}")) for x in "ab"]
-    pairs = _short_pairs(posts).union(_pivot_pairs(posts)).distinct()
-    pairs = pairs.join(signed[0], F.col("a") == F.col("_a")).join(signed[1], F.col("b") == F.col("_b"))
-    pairs = written(pairs.select("a", "b", "sa", "sb").mapInArrow(_agreeing, "a long, b long"), "dedup-pairs")
-    links = written(_confirmed(pairs, docs, classes, words, percent), "dedup-links")
+    pairs = _agreeing_pairs(_short_pairs(posts, COLLISIONS).union(_pivot_pairs(posts)).distinct(), classes)
+    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct(), docs, classes, words)
+    links = written(_confirmed(pairs, sets, percent), "dedup-links")
     found = written(components(links), "dedup-components")
     hot = posts.where(F.col("many") > SHORT)
     if not hot.isEmpty():
