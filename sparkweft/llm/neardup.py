@@ -269,13 +269,15 @@ def _stray_links(hot: DataFrame, docs: DataFrame, classes: DataFrame, found: Dat
     for r in sets.mapInArrow(_buckets, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toLocalIterator():
         counts[r["bucket"]] = r["n"]
     posts = written(sets.mapInArrow(_rarest(counts, percent), "token long, rep long"), "dedup-rarest")
-    shared = posts.groupBy(F.col("token").alias("_token")).agg(F.count(F.lit(1)).alias("many")).where("many > 1")
-    posts = written(posts.join(shared, F.col("token") == F.col("_token")).select("token", "many", "rep"), "dedup-rarest")
+    # Only the long lists are named, so that no task has to meet all rows of one.
+    long = posts.groupBy(F.col("token").alias("_token")).agg(F.count(F.lit(1)).alias("many")).where(F.col("many") > SHORT)
+    long = small(written(long, "dedup-long"), 32)
+    short = posts.join(long, F.col("token") == F.col("_token"), "left_anti").withColumn("many", F.lit(SHORT))
     of = [found.select(F.col("node").alias(f"_n{x}"), F.col("component").alias(f"c{x}")) for x in "ab"]
-    pairs = _short_pairs(posts, 1).join(of[0], F.col("a") == F.col("_na"), "left").join(of[1], F.col("b") == F.col("_nb"), "left")
+    pairs = _short_pairs(short, 1).join(of[0], F.col("a") == F.col("_na"), "left").join(of[1], F.col("b") == F.col("_nb"), "left")
     pairs = pairs.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
     links = _confirmed(_agreeing_pairs(pairs, classes), sets, percent)
-    rows = _mixed(posts.where(F.col("many") > SHORT), found)
+    rows = _mixed(posts.join(long, F.col("token") == F.col("_token")).select("token", "many", "rep"), found)
     rows = rows.select("token", "many", "rep", "component", "main", F.ceil(F.col("all") / BLOCK).alias("blocks"), F.ceil((F.col("all") - F.col("most")) / BLOCK).alias("stray_blocks"))
     rows = written(rows, "dedup-mixed")
     if rows.isEmpty():
