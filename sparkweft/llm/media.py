@@ -125,8 +125,8 @@ def stored(docs: DataFrame) -> DataFrame:
         out.close()
 
     index = written(bounded(rows).mapInArrow(go, "payload_sha256 string, shard string, offset long, length long"), "media-index")
-    one = index.groupBy("payload_sha256").agg(F.min(F.struct("shard", "offset", "length")).alias("at"))
-    return written(one.select("payload_sha256", "at.shard", "at.offset", "at.length"), "media-index")
+    one = index.groupBy("payload_sha256").agg(F.min(F.struct("shard", "offset", "length")).alias("at"))  # of a table, so cheap to make again
+    return one.select("payload_sha256", "at.shard", "at.offset", "at.length")
 
 
 def _with_reads(index: DataFrame, fields: list[tuple[str, str, pa.DataType]], of, head: int | None) -> DataFrame:
