@@ -30,6 +30,8 @@ from .shared import bounded, small, written
 from .stores import Reader, Writer, dealt
 
 LINE = 64
+#: Text that one task stores at least, if there are tasks for all cores: fewer and larger shards.
+TASK_BYTES = 128 << 20
 #: Signature and IHDR of a PNG: all that metadata columns need.
 HEADER = 33
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
@@ -100,7 +102,7 @@ def payload_digest(text: Column) -> Column:
     data = F.encode(F.coalesce(text, F.lit("")), "utf-8")
     n = F.length(data)
     zeros = F.when(n == 0, F.lit(LINE)).otherwise(F.pmod(-n, F.lit(LINE)))
-    return F.sha2(F.concat(data, F.unhex(F.repeat(F.lit("00"), zeros))), 256)
+    return F.sha2(F.concat(data, F.substring(F.lit(bytes(LINE)), F.lit(1), zeros)), 256)
 
 
 def stored(docs: DataFrame) -> DataFrame:
@@ -124,7 +126,9 @@ def stored(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("payload_sha256"), pa.array(shards, pa.string()), pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64())], names=["payload_sha256", "shard", "offset", "length"])
         out.close()
 
-    index = written(bounded(rows).mapInArrow(go, "payload_sha256 string, shard string, offset long, length long"), "media-index")
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    tasks = max(2 * docs.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+    index = written(bounded(rows).mapInArrow(go, "payload_sha256 string, shard string, offset long, length long"), "media-index", int(tasks))
     one = index.groupBy("payload_sha256").agg(F.min(F.struct("shard", "offset", "length")).alias("at"))  # of a table, so cheap to make again
     return one.select("payload_sha256", "at.shard", "at.offset", "at.length")
 
