@@ -20,8 +20,8 @@ once more, now under shingles: two sets that are similar enough have one of thei
 posted under one more than it may lack of the other. Text that very many documents share is not among the rarest of
 any that differ enough, so these lists are short, and their pairs across components are compared by signatures first and by full sets at last.
 Only lists of sets that differ in little more than what they may lack stay long. In each of these the members outside its largest component,
-the strays, are compared in blocks with the members of other components, agreeing pairs on their full sets at once, and one
-link for each stray and component is returned. So no pair is left out, whatever the length of the list; no
+the strays, are compared in blocks with the members of other components: first by signatures alone, then those that agree with some other
+on their full sets at once, and one link for each stray and component is returned. So no pair is left out, whatever the length of the list; no
 rows are made for pairs of long lists.
 
 Sets hold 64-bit hashes of shingles; a class is known by a 128-bit digest of its set.
@@ -42,6 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..tables import passing
 from .components import components
 from .shared import bounded, free_prefix, own, small, written
 
@@ -133,15 +134,19 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(words: int):
+    """Rows (id, found) of the texts whose set has the digest _key: rows that share an id can have several texts."""
+
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
         for batch in batches:
-            ids, texts = batch.column("doc_id"), batch.column("text").to_pylist()
+            ids, keys, texts = batch.column("doc_id"), batch.column("_key").to_pylist(), batch.column("text").to_pylist()
             for i in range(0, len(texts), 256):
                 found = [shingles(t, words, hashes) for t in texts[i : i + 256]]
+                own = [n for n, x in enumerate(found) if _digest(x) == keys[i + n]]
+                found = [found[n] for n in own]
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).astype(np.int64)))
-                yield pa.record_batch([ids.slice(i, 256), pa.array([_digest(x) for x in found], pa.binary()), lists], names=["id", "key", "found"])
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.uint64), *found]).astype(np.int64)))
+                yield pa.record_batch([ids.take(pa.array([i + n for n in own], pa.int64())), lists], names=["id", "found"])
 
     return go
 
@@ -192,6 +197,27 @@ def _rarest(counts: np.ndarray, percent: int):
     return go
 
 
+def _near(percent: int):
+    def go(group: pa.Table) -> pa.Table:
+        """The rows of a block of members and one of strays that agree by signature with one of another component, in a pair that belongs to this list."""
+        token = group.column("token")[0].as_py()
+        stray = group.column("stray").to_numpy().astype(bool)
+        component, size = group.column("component").to_numpy(), group.column("n").to_numpy()
+        values = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint32).reshape(-1, COORDINATES)
+        flat, first = _lists(group.column("tokens"))
+        members, keep = np.flatnonzero(~stray), np.zeros(len(stray), bool)
+        for i in np.flatnonzero(stray):
+            near = ((values[members] == values[i]).sum(axis=1) >= MATCHES) & (component[members] != component[i])
+            near &= 100 * np.minimum(size[members], size[i]) >= percent * np.maximum(size[members], size[i])
+            lists = set(flat[first[i] : first[i + 1]].tolist())
+            for j in members[near]:
+                if not (keep[i] and keep[j]) and next(x for x in flat[first[j] : first[j + 1]].tolist() if x in lists) == token:
+                    keep[i] = keep[j] = True
+        return group.filter(pa.array(keep))
+
+    return go
+
+
 def _across(percent: int):
     def go(group: pa.Table) -> pa.Table:
         """Of a block of members and one of strays of a list, links between components: for each stray, one to each component it is linked with.
@@ -285,12 +311,15 @@ def _stray_links(hot: DataFrame, docs: DataFrame, classes: DataFrame, found: Dat
     draw = F.abs(F.xxhash64("rep") % 1_000_003)
     members = rows.select("token", (draw % F.col("blocks")).alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("stray_blocks") - 1)).alias("stray_block"), "rep", "component", F.lit(False).alias("stray"))
     strays = rows.where("component <> main").select("token", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), (draw % F.col("stray_blocks")).alias("stray_block"), "rep", "component", F.lit(True).alias("stray"))
-    # What a class brings to each of its lists: signature, set, and its long lists in one order.
+    # What a class brings to each of its lists: signature, size of its set, and its long lists in one order.
     own = rows.groupBy(F.col("rep").alias("_rep")).agg(F.sort_array(F.collect_list(F.struct("many", "token"))).alias("t"))
-    own = own.select("_rep", F.transform("t", lambda x: x["token"]).alias("tokens")).join(sets, F.col("_rep") == F.col("id")).drop("id")
+    own = own.select("_rep", F.transform("t", lambda x: x["token"]).alias("tokens")).join(sets.select("id", F.size("found").alias("n")), F.col("_rep") == F.col("id")).drop("id")
     own = own.join(classes.select(F.col("rep").alias("_r"), "signature"), F.col("_rep") == F.col("_r")).drop("_r")
     signed = members.union(strays).join(own, F.col("rep") == F.col("_rep")).drop("_rep")
-    return links.union(signed.groupBy("token", "block", "stray_block").applyInArrow(_across(percent), "a long, b long").distinct())
+    # Sets are many times a signature's size, so only those go to a block that it compares.
+    near = written(signed.groupBy("token", "block", "stray_block").applyInArrow(_near(percent), signed.schema), "dedup-near")
+    full = near.join(sets, F.col("rep") == F.col("id")).drop("id")
+    return links.union(full.groupBy("token", "block", "stray_block").applyInArrow(_across(percent), "a long, b long").distinct())
 
 
 def _agreeing_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -302,11 +331,10 @@ def _agreeing_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def _sets_of(ids: DataFrame, docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
     """(id, found): the full sets of the classes named by ids (_id), made again from their texts."""
-    ids = small(written(ids, "dedup-ids"), 16)
-    rows = docs.join(ids, F.col("doc_id") == F.col("_id")).select("doc_id", "text").mapInArrow(_sets(words), "id long, key binary, found array<long>")
-    own = classes.select(F.col("rep").alias("_c"), F.col("key").alias("_key")).join(ids, F.col("_c") == F.col("_id"), "left_semi")
-    sets = rows.join(own, (F.col("id") == F.col("_c")) & (F.col("key") == F.col("_key"))).select("id", "found")
-    return written(sets, "dedup-sets")
+    own = classes.select(F.col("rep").alias("_c"), F.col("key").alias("_key")).join(small(written(ids, "dedup-ids"), 16), F.col("_c") == F.col("_id"), "left_semi")
+    own = small(written(own, "dedup-keys"), 40)
+    rows = docs.join(own, F.col("doc_id") == F.col("_c")).select("doc_id", "_key", "text")
+    return written(rows.mapInArrow(_sets(words), "id long, found array<long>"), "dedup-sets")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -322,23 +350,29 @@ def near_duplicates(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
     """(doc_id, n_shingles, component_id, kept) for each row of docs (doc_id, text); links join sets with similarity of at least percent."""
     docs = bounded(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     rows = written(docs.mapInArrow(_signed(words), "doc_id long, n_shingles long, key binary, signature binary"), "dedup-rows")
-    whole = rows.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("signature", ignorenulls=True).alias("signature"))
-    classes = written(whole.where("signature is not null and rep is not null"), "dedup-classes")
-    posts = written(_prefixes(classes), "dedup-posts")
-    pairs = _agreeing_pairs(_short_pairs(posts, COLLISIONS).union(_pivot_pairs(posts)).distinct(), classes)
-    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct(), docs, classes, words)
-    links = written(_confirmed(pairs, sets, percent), "dedup-links")
-    found = written(components(links), "dedup-components")
-    hot = posts.where(F.col("many") > SHORT)
-    if not hot.isEmpty():
-        more = written(_stray_links(hot, docs, classes, found, words, percent), "dedup-strays")
-        if not more.isEmpty():
-            links = written(links.union(more), "dedup-links")
+    # Each step's tables go when the next step has what it reads, so that the disk holds one step at a time.
+    spark = docs.sparkSession
+    with passing(spark):
+        whole = rows.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("signature", ignorenulls=True).alias("signature"))
+        classes = written(whole.where("signature is not null and rep is not null"), "dedup-classes")
+        posts = written(_prefixes(classes), "dedup-posts")
+        with passing(spark):
+            pairs = _agreeing_pairs(_short_pairs(posts, COLLISIONS).union(_pivot_pairs(posts)).distinct(), classes)
+            sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct(), docs, classes, words)
+            links = written(_confirmed(pairs, sets, percent), "dedup-links")
+        with passing(spark):
             found = written(components(links), "dedup-components")
-    # A document with an empty set is a component of its own.
-    reps = rows.where("n_shingles > 0").groupBy(F.col("key").alias("_key")).agg(F.min("doc_id").alias("rep"))
-    reps = reps.join(found, F.col("rep") == F.col("node"), "left").select("_key", F.coalesce("component", "rep").alias("component"))
-    reps = written(reps, "dedup-reps")
+        hot = posts.where(F.col("many") > SHORT)
+        if not hot.isEmpty():
+            with passing(spark):
+                more = written(_stray_links(hot, docs, classes, found, words, percent), "dedup-strays")
+            if not more.isEmpty():
+                with passing(spark):
+                    found = written(components(links.union(more)), "dedup-components")
+        # A document with an empty set is a component of its own.
+        reps = rows.where("n_shingles > 0").groupBy(F.col("key").alias("_key")).agg(F.min("doc_id").alias("rep"))
+        reps = reps.join(found, F.col("rep") == F.col("node"), "left").select("_key", F.coalesce("component", "rep").alias("component"))
+        reps = written(reps, "dedup-reps")
     named = rows.join(reps, F.col("key") == F.col("_key"), "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return named.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))

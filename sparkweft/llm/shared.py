@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
-from ..tables import fresh_dir
+from ..tables import fresh_dir, swept
 
 #: The word pattern of the contracts: runs of anything but blank, tab, LF, VT, FF and CR.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -48,7 +48,7 @@ def _by_size(spark: SparkSession):
 def written(df: DataFrame, what: str, files: int | None = None) -> DataFrame:
     """The frame as a table of the shared folder: cuts lineage and survives the loss of any executor. files bounds the tasks that write it, where the rows are known to be few for each."""
     path = fresh_dir(df.sparkSession, what)
-    with _by_size(df.sparkSession):
+    with _by_size(df.sparkSession), swept(df.sparkSession):
         (df.coalesce(files) if files else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

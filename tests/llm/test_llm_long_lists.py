@@ -65,3 +65,37 @@ def test_rarest_shingles_meet(spark):
     posts = sets.mapInArrow(neardup._rarest(counts, 80), "token long, rep long").groupBy("rep").agg(F.collect_set("token").alias("t")).collect()
     own = {r.rep: set(r.t) for r in posts}
     assert sum(kept) > 20 and all(own[2 * i] & own[2 * i + 1] for i, k in enumerate(kept) if k)
+
+
+def test_steps_leave_no_tables(spark):
+    """What a step wrote goes when the next has what it needs: rows and representatives stay, for the result to read."""
+    from sparkweft import tables
+
+    before = tables.mark(spark)
+    docs = spark.createDataFrame([(i, f"a b c d e f g h i j {i // 2}") for i in range(40)], "doc_id long, text string")
+    result = neardup.near_duplicates(docs, words=2)
+    made = tables._made[spark.sparkContext.applicationId][before:]
+    assert [p.rpartition("/")[2].rpartition("-")[0] for p in made] == ["dedup-rows", "dedup-reps"]
+    assert result.count() == 40 and result.where("component_id = doc_id").count() > 0
+
+
+def test_written_leaves_no_shuffle_files(spark):
+    """A written table needs none of its query's shuffle files, and the session's setting stays as it was."""
+    from sparkweft import tables
+
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: {x.name() for x in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(blocks.getAllBlocks()) if x.isShuffle()}
+    before = held()
+    made = tables.written(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.collect_list("id").alias("x")), "swept")
+    assert held() <= before and made.count() == 7 and spark.conf.get(tables.SWEEP, None) is None
+
+
+def test_agreeing_rows_of_a_block():
+    """Rows that agree with none of another component bring no set to the block."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    own = rng.integers(0, 1 << 32, (4, neardup.COORDINATES), dtype=np.uint32)
+    own[2, :40] = own[0, :40]  # the stray 2 agrees with member 0; member 1 and stray 3 with none
+    group = pa.table({"token": [5] * 4, "rep": [0, 1, 2, 3], "component": [0, 0, 2, 3], "stray": [False, False, True, True], "tokens": [[5]] * 4, "n": [10] * 4, "signature": [x.tobytes() for x in own]})
+    assert neardup._near(80)(group).column("rep").to_pylist() == [0, 2]
