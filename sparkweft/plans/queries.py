@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import dot as D
 from ..functions import samples as S
 from ..functions.text import dot_escaped, html_escaped, path_parts
-from ..operators import datasets, graph, manifest, parse, profile, render, verify
+from ..operators import datasets, graph, local, manifest, parse, profile, render, verify
 from ..tables import written
 from .order_graphs import SQL as G
 from .order_graphs import documents as order_documents
@@ -167,6 +167,11 @@ def cfg_reachable_joins(spark, sf_dir):
     return graph.reachable(graph.user_methods(docs), parse.edges(docs, ["CFG"]), "joins")
 
 
+def _filtered(spark, sf_dir, once=False):
+    """(graph_id, dot, filtered): subgraphs and their filtered documents, graph by graph in one pass over the orders."""
+    return local.user_subgraph_text(local.subgraph_text(order_documents(spark, sf_dir, once)))
+
+
 @query("SELECT r.g AS graph_id, r.id AS node_id FROM sub_reach r")
 def udm_nodes(spark, sf_dir):
     return graph.user_subgraph(subgraphs(spark, sf_dir))[0].select("graph_id", "node_id")
@@ -189,11 +194,7 @@ def node_sort(spark, sf_dir):
 @query("SELECT g AS graph_id, t AS etype, count(*) AS n, CASE t WHEN 'CFG' THEN 0 ELSE (SELECT count(*) FROM user_edge x WHERE x.g = e.g AND x.t = 'CFG') END AS first_place FROM user_edge e GROUP BY g, t")
 def edge_order(spark, sf_dir):
     """Control flow stands before calls in the filtered document."""
-    docs = subgraphs(spark, sf_dir)
-    nodes, edges, _ = graph.user_subgraph(docs)
-    found = parse.edges(written(render.user_subgraph_text(docs, edges, nodes), "order-filtered"))
-    placed = found.withColumn("place", datasets.numbered(found, ["graph_id"], [F.col("ord")]))
-    return placed.groupBy("graph_id", "etype").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first_place"))
+    return local.edge_places(_filtered(spark, sf_dir, once=True).select("graph_id", F.col("filtered").alias("dot")))
 
 
 # Checks, over subgraphs with seeded faults: one kind of fault by order key.
