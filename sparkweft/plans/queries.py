@@ -185,9 +185,7 @@ def udm_edges(spark, sf_dir):
 @query("SELECT g AS graph_id, id AS node_id, row_number() OVER (PARTITION BY g ORDER BY id) - 1 AS place FROM sub_reach")
 def node_sort(spark, sf_dir):
     """Nodes stand in the filtered document by id as text."""
-    docs = subgraphs(spark, sf_dir)
-    nodes, edges, _ = graph.user_subgraph(docs)
-    found = parse.nodes(written(render.user_subgraph_text(docs, edges, nodes), "order-filtered"))
+    found = parse.nodes(_filtered(spark, sf_dir, once=True).select("graph_id", F.col("filtered").alias("dot")))
     return found.select("graph_id", "node_id", F.col("ord").cast("long").alias("place"))
 
 
