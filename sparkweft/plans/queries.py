@@ -174,7 +174,7 @@ def _filtered(spark, sf_dir, once=False):
 
 @query("SELECT r.g AS graph_id, r.id AS node_id FROM sub_reach r")
 def udm_nodes(spark, sf_dir):
-    return graph.user_subgraph(subgraphs(spark, sf_dir))[0].select("graph_id", "node_id")
+    return local.user_nodes(local.subgraph_text(order_documents(spark, sf_dir, once=True)))
 
 
 @query("SELECT g AS graph_id, src, dst, t AS etype FROM user_edge")
