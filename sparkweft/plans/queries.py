@@ -282,12 +282,7 @@ def verify_overall(spark, sf_dir):
 @query("SELECT o_orderkey AS graph_id, true AS passed FROM orders")
 def verify_clean(spark, sf_dir):
     """Documents as the engine makes them pass all checks of both kinds."""
-    docs = documents(spark, sf_dir)
-    sub = written(render.subgraph_text(docs, *graph.subgraph(docs, keep=True)[:2]), "order-subgraphs")
-    between = verify.parsed(sub, True)
-    nodes, edges, _ = graph.user_subgraph(sub, tables=(between.edges, between.nodes))
-    filtered = written(render.user_subgraph_text(sub, edges, nodes), "order-filtered")
-    return verify.overall(verify.verify_subgraph(docs, between).unionByName(verify.verify_user_subgraph(between, filtered)))
+    return verify.overall(local.verify_made(order_documents(spark, sf_dir)))
 
 
 # Schema profile. A file is an order; its node types are METHOD and CALL.
