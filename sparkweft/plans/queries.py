@@ -236,7 +236,7 @@ def verify_attrs(spark, sf_dir):
     return verify.subgraph_attributes(*_pair(spark, sf_dir)).select("graph_id", "passed")
 
 
-def _user_pair(spark, sf_dir):
+def _user_pair_tables(spark, sf_dir):
     """Subgraphs and their filtered documents, by graph_id mod 4: whole; a node lost; an external method added; a call to a node that is no method."""
     docs = subgraphs(spark, sf_dir)
     nodes, edges, _ = graph.user_subgraph(docs)
@@ -250,33 +250,48 @@ def _user_pair(spark, sf_dir):
     return docs, written(made.withColumn("dot", F.coalesce(fault, F.col("dot"))), "order-filtered")
 
 
+def _user_pair(spark, sf_dir):
+    """Subgraphs and their filtered documents, by graph_id mod 4: whole; a node lost; an external method added; a call to a node that is no method."""
+    own, dot = F.col("graph_id").cast("string"), F.col("filtered")
+    fault = (
+        F.when(F.col("graph_id") % 4 == 1, F.regexp_replace(dot, F.concat(F.lit('(?m)^ *"M'), own, F.lit(r'" \[.*\n')), F.lit("")))
+        .when(F.col("graph_id") % 4 == 2, F.regexp_replace(dot, r"\}\n\z", '  "X1" [label="METHOD" NAME="x" IS_EXTERNAL="true"];\n}\n'))
+        .when(F.col("graph_id") % 4 == 3, F.concat(F.regexp_replace(dot, r"\}\n\z", ""), F.lit('  "M'), own, F.lit('" -> "X2" [label="CALL" ];\n}\n')))
+    )
+    return _filtered(spark, sf_dir).withColumn("filtered", F.coalesce(fault, dot))
+
+
+def _user_check(spark, sf_dir, category):
+    return local.verify_user_subgraph(_user_pair(spark, sf_dir)).where(F.col("category") == category).select("graph_id", "passed")
+
+
 _HAS = "EXISTS (SELECT 1 FROM li WHERE g = o_orderkey)"
 
 
 @query(f"SELECT o_orderkey AS graph_id, NOT ((o_orderkey % 4 = 1 AND {_HAS}) OR o_orderkey % 4 = 2) AS passed FROM orders")
 def verify_udm_identification(spark, sf_dir):
-    return verify.user_identification(*_user_pair(spark, sf_dir)).select("graph_id", "passed")
+    return verify.user_identification(*_user_pair_tables(spark, sf_dir)).select("graph_id", "passed")
 
 
 @query(f"SELECT o_orderkey AS graph_id, NOT ((o_orderkey % 4 = 1 AND {_HAS}) OR o_orderkey % 4 = 2) AS passed FROM orders")
 def verify_udm_reachability(spark, sf_dir):
-    return verify.user_reachability(*_user_pair(spark, sf_dir)).select("graph_id", "passed")
+    return verify.user_reachability(*_user_pair_tables(spark, sf_dir)).select("graph_id", "passed")
 
 
 @query(f"SELECT o_orderkey AS graph_id, NOT ((o_orderkey % 4 = 1 AND {_HAS}) OR o_orderkey % 4 = 3) AS passed FROM orders")
 def verify_udm_edges(spark, sf_dir):
-    return verify.user_edges(*_user_pair(spark, sf_dir)).select("graph_id", "passed")
+    return verify.user_edges(*_user_pair_tables(spark, sf_dir)).select("graph_id", "passed")
 
 
 @query("SELECT o_orderkey AS graph_id, o_orderkey % 4 <> 2 AS passed FROM orders")
 def verify_udm_integrity(spark, sf_dir):
-    return verify.user_integrity(*_user_pair(spark, sf_dir)).select("graph_id", "passed")
+    return verify.user_integrity(*_user_pair_tables(spark, sf_dir)).select("graph_id", "passed")
 
 
 @query(f"SELECT o_orderkey AS graph_id, NOT ((o_orderkey % 4 = 1 AND {_HAS}) OR o_orderkey % 4 IN (2, 3)) AS passed FROM orders")
 def verify_overall(spark, sf_dir):
     """All checks of the filtered documents together."""
-    return verify.overall(verify.verify_user_subgraph(*_user_pair(spark, sf_dir)))
+    return verify.overall(local.verify_user_subgraph(_user_pair(spark, sf_dir)))
 
 
 @query("SELECT o_orderkey AS graph_id, true AS passed FROM orders")
