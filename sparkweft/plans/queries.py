@@ -280,7 +280,7 @@ def verify_udm_reachability(spark, sf_dir):
 
 @query(f"SELECT o_orderkey AS graph_id, NOT ((o_orderkey % 4 = 1 AND {_HAS}) OR o_orderkey % 4 = 3) AS passed FROM orders")
 def verify_udm_edges(spark, sf_dir):
-    return verify.user_edges(*_user_pair_tables(spark, sf_dir)).select("graph_id", "passed")
+    return _user_check(spark, sf_dir, "edge_filtering")
 
 
 @query("SELECT o_orderkey AS graph_id, o_orderkey % 4 <> 2 AS passed FROM orders")
