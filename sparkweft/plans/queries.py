@@ -270,7 +270,7 @@ _HAS = "EXISTS (SELECT 1 FROM li WHERE g = o_orderkey)"
 
 @query(f"SELECT o_orderkey AS graph_id, NOT ((o_orderkey % 4 = 1 AND {_HAS}) OR o_orderkey % 4 = 2) AS passed FROM orders")
 def verify_udm_identification(spark, sf_dir):
-    return verify.user_identification(*_user_pair_tables(spark, sf_dir)).select("graph_id", "passed")
+    return _user_check(spark, sf_dir, "udf_identification")
 
 
 @query(f"SELECT o_orderkey AS graph_id, NOT ((o_orderkey % 4 = 1 AND {_HAS}) OR o_orderkey % 4 = 2) AS passed FROM orders")
