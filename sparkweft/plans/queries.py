@@ -285,7 +285,7 @@ def verify_udm_edges(spark, sf_dir):
 
 @query("SELECT o_orderkey AS graph_id, o_orderkey % 4 <> 2 AS passed FROM orders")
 def verify_udm_integrity(spark, sf_dir):
-    return verify.user_integrity(*_user_pair_tables(spark, sf_dir)).select("graph_id", "passed")
+    return _user_check(spark, sf_dir, "node_integrity")
 
 
 @query(f"SELECT o_orderkey AS graph_id, NOT ((o_orderkey % 4 = 1 AND {_HAS}) OR o_orderkey % 4 IN (2, 3)) AS passed FROM orders")
