@@ -236,20 +236,6 @@ def verify_attrs(spark, sf_dir):
     return verify.subgraph_attributes(*_pair(spark, sf_dir)).select("graph_id", "passed")
 
 
-def _user_pair_tables(spark, sf_dir):
-    """Subgraphs and their filtered documents, by graph_id mod 4: whole; a node lost; an external method added; a call to a node that is no method."""
-    docs = subgraphs(spark, sf_dir)
-    nodes, edges, _ = graph.user_subgraph(docs)
-    made = render.user_subgraph_text(docs, edges, nodes)
-    own = F.col("graph_id").cast("string")
-    fault = (
-        F.when(F.col("graph_id") % 4 == 1, F.regexp_replace("dot", F.concat(F.lit('(?m)^ *"M'), own, F.lit(r'" \[.*\n')), F.lit("")))
-        .when(F.col("graph_id") % 4 == 2, F.regexp_replace("dot", r"\}\n\z", '  "X1" [label="METHOD" NAME="x" IS_EXTERNAL="true"];\n}\n'))
-        .when(F.col("graph_id") % 4 == 3, F.concat(F.regexp_replace("dot", r"\}\n\z", ""), F.lit('  "M'), own, F.lit('" -> "X2" [label="CALL" ];\n}\n')))
-    )
-    return docs, written(made.withColumn("dot", F.coalesce(fault, F.col("dot"))), "order-filtered")
-
-
 def _user_pair(spark, sf_dir):
     """Subgraphs and their filtered documents, by graph_id mod 4: whole; a node lost; an external method added; a call to a node that is no method."""
     own, dot = F.col("graph_id").cast("string"), F.col("filtered")
@@ -275,7 +261,7 @@ def verify_udm_identification(spark, sf_dir):
 
 @query(f"SELECT o_orderkey AS graph_id, NOT ((o_orderkey % 4 = 1 AND {_HAS}) OR o_orderkey % 4 = 2) AS passed FROM orders")
 def verify_udm_reachability(spark, sf_dir):
-    return verify.user_reachability(*_user_pair_tables(spark, sf_dir)).select("graph_id", "passed")
+    return _user_check(spark, sf_dir, "cfg_reachability")
 
 
 @query(f"SELECT o_orderkey AS graph_id, NOT ((o_orderkey % 4 = 1 AND {_HAS}) OR o_orderkey % 4 = 3) AS passed FROM orders")
